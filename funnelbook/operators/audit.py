@@ -34,8 +34,9 @@ def stale_clients(sources: Mapping[str, tuple[DataFrame, str]], as_of: date, day
 
 def failed(runs: DataFrame, since: datetime, states=ERROR_STATES, ignored_tag: str = IGNORED_TAG) -> DataFrame:
     """Failed runs that ended after ``since`` and do not carry the ignored tag. Works on streams as well."""
+    after = F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz")
     tagged = F.coalesce(F.array_contains("tags", ignored_tag), F.lit(False))
-    return runs.where(F.upper("state").isin(*states) & (F.col("end_time") > F.lit(since)) & ~tagged)
+    return runs.where(F.upper("state").isin(*states) & (F.col("end_time") > after) & ~tagged)
 
 
 def newest_runs(runs: DataFrame, limit: int = NEWEST_RUNS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import CALL_TS_FORMAT, parse_ts
+from ..functions.dates import parse_call_ts
 from ..functions.frames import drop_known, ensure_columns
 from ..functions.nested import COMMENTS_TYPE, TAGS_TYPE, first_comment, flatten_structs, tag_category, tag_names, tag_type
 from ..functions.numbers import number_or_null
@@ -72,7 +72,7 @@ def calls_leads(calls: DataFrame, leads: DataFrame) -> DataFrame:
     The time of day stays in ``event_ts``.
     """
     both = _prepare(leads, LEAD_DROPS, LEAD_NAMES).unionByName(_prepare(calls, CALL_DROPS, CALL_NAMES), allowMissingColumns=True)
-    ts = parse_ts(F.col("date"), CALL_TS_FORMAT)
+    ts = parse_call_ts(F.col("date"))
     derived = {
         "tag_category": null_words(tag_category(F.col("tags"))),
         "tag_type": null_words(tag_type(F.col("tags"))),

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import VISIT_TS_FORMAT, parse_ts
+from ..functions.dates import parse_visit_ts
 from ..functions.text import goal_class
 
 # Fixed value: this goal id never counts as a goal of a campaign.
@@ -31,7 +31,7 @@ def goal_hits(visits: DataFrame, keys: Sequence[str], goals: str, times: str) ->
         *keys,
         "goal_id",
         F.size(F.filter(goals, lambda g: g == F.col("goal_id"))).cast("bigint").alias("hits"),
-        parse_ts(F.get(times, first), VISIT_TS_FORMAT).alias("first_time"),
+        parse_visit_ts(F.get(times, first)).alias("first_time"),
     )
 
 

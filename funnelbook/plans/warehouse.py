@@ -1,8 +1,8 @@
 """Partitioned Parquet tables that can replace date ranges of single clients.
 
-One table per source holds all clients. It is partitioned by ``part`` = month and client
-bucket, for example ``202401-07``; the number of partitions depends on the layout, not on
-the number of clients or days. Replacing a range rewrites the partitions it touches and no
+One table per source holds all clients. It is partitioned by ``part`` = month (or year, for
+small tables) and client bucket, for example ``202401-007``; the number of partitions depends
+on the layout, not on the number of clients or days. Replacing a range rewrites the partitions it touches and no
 others (copy on write): rows outside the ranges are carried over, the new rows are added.
 The new partition content is computed in full and moved in at the end of the write, so a
 failed job leaves the table as it was. A partition that loses its last row is dropped after
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Mapping
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -24,15 +25,19 @@ from .windows import day_series
 
 PART = "part"
 
+# Spark and Python patterns of the two partition periods.
+PERIODS = {"month": ("yyyyMM", "%Y%m"), "year": ("yyyy", "%Y")}
+
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, schema: str | None = None, location: str | None = None, *, buckets: int = 64):
+    def __init__(self, spark: SparkSession, schema: str | None = None, location: str | None = None, *, buckets: int = 64, period: str = "month"):
         """A schema at ``location`` (by default a fresh folder in the shared directory).
 
-        ``buckets`` is the number of client buckets per month and must stay the same for the
-        life of the tables.
+        ``buckets`` is the number of client buckets per ``period``; both must stay the same for
+        the life of the tables.
         """
         self.spark = spark
+        self.period = period
         self.buckets = buckets
         self.schema = schema or f"fb_{uuid.uuid4().hex}"
         self.location = location or shared_dir(spark)
@@ -48,15 +53,16 @@ class Warehouse:
 
     def _part(self, day: str | Column, client: str = "client") -> Column:
         bucket = F.lpad(F.pmod(F.xxhash64(client), F.lit(self.buckets)).cast("string"), 3, "0")
-        return F.concat_ws("-", F.coalesce(F.date_format(day, "yyyyMM"), F.lit("000000")), bucket)
+        return F.concat_ws("-", F.coalesce(F.date_format(day, PERIODS[self.period][0]), F.lit("0")), bucket)
 
     def read(self, table: str, start: date | None = None, end: date | None = None) -> DataFrame:
-        """The table without its layout column; a window prunes months at planning time."""
+        """The table without its layout column; a window prunes periods at planning time."""
         df = self.spark.table(self._name(table))
+        fmt = PERIODS[self.period][1]
         if start is not None:
-            df = df.where((F.col(PART) >= f"{start:%Y%m}") & (F.col("Date") >= F.lit(start)))
+            df = df.where((F.col(PART) >= start.strftime(fmt)) & (F.col("Date") >= F.lit(start)))
         if end is not None:
-            df = df.where((F.col(PART) < f"{end:%Y%m}~") & (F.col("Date") <= F.lit(end)))
+            df = df.where((F.col(PART) < end.strftime(fmt) + "~") & (F.col("Date") <= F.lit(end)))
         return df.drop(PART)
 
     def _laid_out(self, df: DataFrame, order: Iterable[str]) -> DataFrame:
@@ -110,23 +116,21 @@ class Warehouse:
     def upgrade_types(self, table: str, wanted: Mapping[str, str]) -> dict[str, int]:
         """Stored text columns become the wanted type; anything else stays. Returns bad values per column.
 
-        The table is rewritten beside the old one and takes its name afterwards.
+        The converted rows are written in full to a staging folder before the table is made anew
+        from them; the folder stays, so that nothing is lost if the second step fails.
         """
         name = self._name(table)
-        current = dict(self.spark.table(name).dtypes)
-        todo = {c: t for c, t in wanted.items() if current.get(c) == "string" and t != "string"}
+        old = self.spark.table(name)
+        current = dict(old.dtypes)
+        todo = {c: t for c, t in wanted.items() if current.get(c) == "string" and t != "string" and c != PART}
         if not todo:
             return {}
         seen = Observation()
-        old = self.spark.table(name)
         bad = [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c) for c, t in todo.items()]
-        new = old.observe(seen, *bad).withColumns({c: F.col(c).try_cast(t) for c, t in todo.items()})
-        fresh = f"{table}__{uuid.uuid4().hex}"
-        new.select(*old.columns).hint("rebalance", PART).sortWithinPartitions(PART, "client", "Date").write.partitionBy(
-            PART
-        ).format("parquet").saveAsTable(self._name(fresh))
+        new = old.drop(PART).observe(seen, *bad).withColumns({c: F.col(c).try_cast(t) for c, t in todo.items()})
+        staged = materialise(new, f"{self.location}/staged-{uuid.uuid4().hex}")
         self.spark.sql(f"DROP TABLE {name}")
-        self.spark.sql(f"ALTER TABLE {self._name(fresh)} RENAME TO {name}")
+        self.write(table, staged)
         return dict(seen.get)
 
     # -- replace -----------------------------------------------------------------------------
@@ -177,10 +181,21 @@ class Warehouse:
             removed += count
         return removed
 
+    @contextmanager
+    def _dynamic_overwrite(self):
+        """Only partitions that get rows are replaced, and a table may be read while it is written."""
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, "dynamic")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, before)
+
     def _rewrite(self, table: str, parts: list[str], gone: DataFrame, on: list[str], new: DataFrame | None) -> None:
         """Write the given partitions anew: stored rows that do not match ``gone``, plus ``new``.
 
-        ``parts`` comes from the table layout, so it has at most months x buckets entries.
+        ``parts`` comes from the table layout, so it has at most periods x buckets entries.
         """
         if not parts:
             return
@@ -192,7 +207,8 @@ class Warehouse:
         written = Observation()
         out = self._conform(table, self._laid_out(rows, ("client", "Date")))
         out = out.observe(written, F.collect_set(PART).alias("parts"))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+        with self._dynamic_overwrite():
+            out.write.insertInto(name, overwrite=True)
         for part in sorted(set(parts) - set(written.get["parts"] or [])):
             self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PART} = '{part}')")
         self.spark.catalog.refreshTable(name)

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import CALL_TS_FORMAT, age_days, parse_day, parse_ts, year_month
+from ..functions.dates import age_days, parse_call_ts, parse_day, year_month
 from ..functions.labels import device_label, robot_flag
 from ..functions.nested import list_of_longs, list_of_strings
 from ..functions.numbers import flag, int64_or_zero, lenient_double, lenient_long, micros_to_units, round_half_even
@@ -179,7 +179,7 @@ def q_date_parts(spark, sf):
     return table(spark, sf, "orders").select(
         "o_orderkey",
         day.alias("day"),
-        F.coalesce(parse_ts(call_text, CALL_TS_FORMAT).cast("string"), F.lit("bad")).alias("call_ts"),
+        F.coalesce(parse_call_ts(call_text).cast("string"), F.lit("bad")).alias("call_ts"),
         year_month(day).alias("year_month"),
         age_days(F.lit(date(2002, 1, 1)), day).cast("bigint").alias("age"),
     )

@@ -11,7 +11,7 @@ from ..plans.warehouse import Warehouse
 from .ads import CHANGED_DAYS_ADS, _changes
 from .base import query, table, view
 
-BUCKETS = 2
+LAYOUT = {"buckets": 2, "period": "year"}
 ROW = 'client, CAST(dt AS STRING) AS "Date", impressions, clicks, CAST(cost AS DOUBLE) AS cost, COALESCE(goal_id, 0) AS goal_id, conv, network'
 COLUMNS = ("client", "Date", "impressions", "clicks", "cost", "goal_id", "conv", "network")
 
@@ -21,7 +21,7 @@ def _rows(spark, sf, name):
 
 
 def _stored(spark, sf):
-    house = Warehouse(spark, buckets=BUCKETS)
+    house = Warehouse(spark, **LAYOUT)
     house.write("ads", _rows(spark, sf, "ads_wh"))
     return house
 
@@ -81,7 +81,7 @@ def q_cleanup_clients(spark, sf):
 @query("append_roundtrip", f"SELECT {ROW}, CASE WHEN network = 'A' THEN '-' ELSE slot END AS slot FROM {{ads_wh}}")
 def q_append_roundtrip(spark, sf):
     rows = view(spark, sf, "ads_wh").withColumnRenamed("dt", "Date").select(*COLUMNS, "slot")
-    house = Warehouse(spark, buckets=BUCKETS)
+    house = Warehouse(spark, **LAYOUT)
     house.write("ads", rows.where("network = 'A'").drop("slot"))
     house.write("ads", rows.where("network <> 'A'"))
     return house.read("ads").withColumn("cost", F.col("cost").cast("double")).fillna(0, ["goal_id"]).fillna("-", ["slot"])
@@ -95,7 +95,7 @@ def q_append_roundtrip(spark, sf):
 def q_type_upgrade(spark, sf):
     rows = view(spark, sf, "ads_wh").withColumnRenamed("dt", "Date").fillna(0, ["goal_id"])
     text = F.when(F.col("slot") == "O", F.col("clicks").cast("string")).otherwise("n/a")
-    house = Warehouse(spark, buckets=BUCKETS)
+    house = Warehouse(spark, **LAYOUT)
     house.write("ads", rows.select("client", "Date", "campaign_id", "goal_id", text.alias("clicks")))
     house.upgrade_types("ads", {"clicks": "bigint", "campaign_id": "string"})
     return house.read("ads").fillna(-1, ["clicks"])
@@ -107,7 +107,7 @@ def q_type_upgrade(spark, sf):
        FROM {ads_wh} GROUP BY client, dt""",
 )
 def q_empty_goals(spark, sf):
-    house = Warehouse(spark, buckets=BUCKETS)
+    house = Warehouse(spark, **LAYOUT)
     daily = _rows(spark, sf, "ads_wh").groupBy("client", "Date").agg(F.sum("clicks").alias("clicks"))
     house.write("daily", daily)
     house.add_goal_columns("daily", ["conversions_99", "clicks"])
