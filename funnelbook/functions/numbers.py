@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
-
 _INTEGER = r"^[+-]?[0-9]+$"
-_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_SPACE = " \t\r\n\f\x0b"
 
 
 def int64_or_zero(c: Column) -> Column:
@@ -19,10 +17,13 @@ def int64_or_zero(c: Column) -> Column:
 def number_or_null(c: Column) -> Column:
     """Double of a decimal number with optional blanks around, else null.
 
-    The pattern keeps out what a cast would take as well: ``12d``, ``NaN``, ``Infinity``.
+    The end of the text keeps out what a cast would take as well: ``12d``, ``NaN``, ``Infinity``,
+    and the ``x`` test hexadecimal numbers.
     """
-    t = strip(c.cast("string"))
-    return F.when(t.rlike(_DECIMAL), t.try_cast("double"))
+    t = F.rtrim(c.cast("string"), F.lit(_SPACE))
+    last = F.right(t, F.lit(1))
+    decimal = (last.between("0", "9") | (last == ".")) & ~t.contains("x") & ~t.contains("X")
+    return F.when(decimal, t.try_cast("double"))
 
 
 def lenient_double(c: Column) -> Column:
@@ -32,12 +33,9 @@ def lenient_double(c: Column) -> Column:
 def lenient_long(c: Column) -> Column:
     """Like ``lenient_double`` as a whole number: the fraction is cut, beyond 64 bits gives 0.
 
-    Whole numbers take the integer path, so that large ids keep every digit.
+    Whole numbers take the integer path, so that large ids keep every digit. Casts skip blanks.
     """
-    t = strip(c.cast("string"))
-    whole = F.when(t.rlike(_INTEGER), t.try_cast("bigint"))
-    cut = F.when(~t.rlike(_INTEGER), number_or_null(c).try_cast("bigint"))
-    return F.coalesce(whole, cut, F.lit(0).cast("bigint"))
+    return F.coalesce(c.cast("string").try_cast("bigint"), number_or_null(c).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def finite_or_null(c: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_access_value, compose_type, login_canonical, split_type, type_predicate
+from ..plans.skew import skew_join
 
 COLUMNS = ("login", "token", "container", "type")
 
@@ -227,7 +228,8 @@ def with_legacy(counters: DataFrame, access: DataFrame, service: str) -> DataFra
 
 def lookup_access(keys: DataFrame, credentials: DataFrame) -> DataFrame:
     """Each key with its token; ``found`` is false for a miss."""
-    return keys.join(credentials.select("login", "token"), "login", "left").withColumn("found", F.col("token").isNotNull())
+    joined = skew_join(credentials.select("login", "token"), keys, ["login"], "left")
+    return joined.withColumn("found", F.col("token").isNotNull())
 
 
 def latest(df: DataFrame, key: str, version: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_visit_ts
 from ..functions.text import goal_class
+from ..plans.skew import skew_join
 
 # Fixed value: this goal id never counts as a goal of a campaign.
 EXCLUDED_GOAL = 12
@@ -49,18 +50,19 @@ def goal_dimension(goals: DataFrame) -> DataFrame:
 def goal_flags(hits: DataFrame, goals: DataFrame) -> DataFrame:
     """Flags of the goals that the client has: ``u`` for each, ``g`` only for marked ones."""
     hit = F.when(F.col("hits") > 0, 1).otherwise(0)
-    return hits.join(goals, ["client", "goal_id"]).select(
+    return skew_join(goals, hits, ["client", "goal_id"]).select(
         *[c for c in hits.columns if c not in ("hits", "first_time")],
         hit.alias("u_flag"),
         F.when(F.col("class") == "g", hit).otherwise(0).alias("g_flag"),
     )
 
 
-def goal_sums(visits: DataFrame, goals: DataFrame, ids: str) -> DataFrame:
+def goal_sums(visits: DataFrame, goals: DataFrame, ids: str, counted: DataFrame | None = None) -> DataFrame:
     """Adds ``g_sum_goal`` and ``u_sum_goal`` to each visit.
 
     The goal ids of a client fit one row (a counter has a few hundred at most), so the join is
-    on the client and the visit rows are neither exploded nor grouped.
+    on the client and the visit rows are neither exploded nor grouped. ``counted`` may name a
+    cheaper frame with about the same client frequencies as ``visits``.
     """
     per_client = goals.groupBy("client").agg(
         F.collect_set("goal_id").alias("__u"),
@@ -70,7 +72,7 @@ def goal_sums(visits: DataFrame, goals: DataFrame, ids: str) -> DataFrame:
     def reached(known: str):
         return F.coalesce(F.size(F.array_intersect(F.col(ids), F.col(known))), F.lit(0)).cast("bigint")
 
-    joined = visits.join(per_client, "client", "left")
+    joined = skew_join(per_client, visits, ["client"], "left", counted=counted)
     known = {k: F.coalesce(F.col(k), F.array().cast("array<bigint>")) for k in ("__u", "__g")}
     return (
         joined.withColumns(known)
@@ -141,3 +143,24 @@ def stale_goals(stored: DataFrame, goals: DataFrame) -> DataFrame:
     """Stored ``g`` goals whose marker is gone at the source (no such goal, or another class now)."""
     marked = goals.where(F.col("class") == "g").select("client", "goal_id")
     return stored.where(F.col("class") == "g").join(marked, ["client", "goal_id"], "left_anti")
+
+
+def drop_goals(stored: DataFrame, gone: DataFrame) -> DataFrame:
+    """Stored goal rows (dimension or daily) without those of the goals in ``gone``."""
+    return stored.join(gone.select("client", "goal_id").distinct(), ["client", "goal_id"], "left_anti")
+
+
+def wide_flags(visits: DataFrame, ids: str, goal_ids: Sequence[int], prefix: str = "u_goal_") -> DataFrame:
+    """Wide 0/1 columns for an explicit goal list, read from the goal list of each visit."""
+    reached = F.coalesce(F.col(ids), F.array().cast("array<bigint>"))
+    return visits.withColumns({f"{prefix}{g}": F.array_contains(reached, F.lit(g).cast("bigint")).cast("int") for g in goal_ids})
+
+
+def drop_legacy(df: DataFrame, marked: Sequence[int] = ()) -> DataFrame:
+    """Wide input without ``goal_*``, ``sum_goal`` and those ``g_goal_*`` columns whose goal is not in ``marked``."""
+    keep = {f"g_goal_{g}" for g in marked}
+
+    def legacy(c: str) -> bool:
+        return c == "sum_goal" or c.startswith("goal_") or (c.startswith("g_goal_") and c not in keep)
+
+    return df.drop(*[c for c in df.columns if legacy(c)])

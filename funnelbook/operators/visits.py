@@ -69,7 +69,7 @@ def enrich_visits(report: DataFrame, logs: DataFrame, keys: Sequence[str]) -> Da
 
 def unmatched_visits(report: DataFrame, logs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Report rows for which the log has nothing, counted per client."""
-    return report.join(logs, list(keys), "left_anti").groupBy("client").agg(F.count("*").alias("unmatched"))
+    return report.join(logs.select(*keys).distinct(), list(keys), "left_anti").groupBy("client").agg(F.count("*").alias("unmatched"))
 
 
 def clean_visits(df: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def shape_visits(report: DataFrame, logs: DataFrame, goals: DataFrame, keys: Seq
     visits = visits.withColumns(
         {"goalsID": list_of_longs(F.col("goalsID")), "goalsDateTime": list_of_strings(F.col("goalsDateTime"))}
     )
-    return goal_sums(visits, goals, "goalsID")
+    return goal_sums(visits, goals, "goalsID", counted=report.select("client"))
 
 
 def dedup_visits(visits: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Which days of which clients differ between a source and the warehouse.
 
-Both sides come as daily frames for all clients at once. They are stacked with a side mark
-and aggregated, so that an absent side is 0 without an outer join, and a client with very
-many rows has already been reduced to its days when the frames meet.
+Both sides are stacked with a side mark and aggregated once, so that an absent side is 0
+without an outer join, and a client with very many rows is reduced to its days and goals on
+the map side, before anything is shuffled. After that one shuffle by client serves all later
+steps: a client then has at most days x goals rows, whatever its traffic.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.frames import in_window
 from ..functions.text import login_canonical
-from ..operators.summaries import daily_summary
 
 # Cost tolerance and cost-check exceptions of the two ads profiles.
 COST_TOLERANCE = {"analytics": 500, "light": 2}
@@ -43,23 +44,18 @@ def _sum(c: str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0)).alias(c)
 
 
-def ads_by_goal(rows: DataFrame, start: date, end: date) -> DataFrame:
-    """Ads rows (one goal at most per row) to sums per client, day and goal; ``goal_id`` null = no goal."""
-    return daily_summary(rows, ["impressions", "clicks", "cost", "conv"], start, end, keys=("client", "goal_id"))
+def compare_ads(source: DataFrame, warehouse: DataFrame, start: date, end: date) -> DataFrame:
+    """Ads rows of both sides (one goal at most per row) to sums per client, day and goal.
 
-
-def compare_ads(source: DataFrame, warehouse: DataFrame) -> DataFrame:
-    """Per client, day and goal: sums of both sides and whether the warehouse knows the goal.
-
-    A goal is known when the warehouse has a row of it in the window. The window over
-    (client, goal) holds one row per day.
+    ``known`` says whether the warehouse has a row of that goal in the window.
     """
     values = ["impressions", "clicks", "cost", "conv"]
-    both = _sides(source, warehouse, values)
-    merged = both.groupBy("client", "dt", "goal_id").agg(
+    sides = [df.select("client", "dt", "goal_id", *values).where(in_window(F.col("dt"), start, end)) for df in (source, warehouse)]
+    merged = _sides(*sides, values).groupBy("client", "dt", "goal_id").agg(
         *[_sum(f"{p}_{v}") for p in "sw" for v in values], F.max("s_rows").alias("s_rows"), F.max("w_rows").alias("w_rows")
     )
-    return merged.withColumn("known", F.max("w_rows").over(Window.partitionBy("client", "goal_id")) == 1)
+    goal = Window.partitionBy("client", "goal_id")
+    return merged.repartition("client").withColumn("known", F.max("w_rows").over(goal) == 1)
 
 
 def changed_days_ads(
@@ -78,11 +74,11 @@ def changed_days_ads(
     * ``metrics``: both have, and impressions, clicks, cost (by more than the tolerance, not
       for clients on ``skip_cost``) or the conversions of a known goal differ;
     * ``new_goal``: a goal unknown to the warehouse has conversions on that day;
-    * ``forced``: yesterday, for a client with source rows but no warehouse row in the window.
+    * ``forced``: the last day, for a client with source rows but no warehouse row in the window.
 
     A client without source rows is never reported. Names on ``skip_cost`` match in any spelling.
     """
-    per_goal = compare_ads(ads_by_goal(source, start, end), ads_by_goal(warehouse, start, end))
+    per_goal = compare_ads(source, warehouse, start, end)
     real = F.col("goal_id").isNotNull()
     per_day = per_goal.groupBy("client", "dt").agg(
         *[_sum(f"{p}_{v}") for p in "sw" for v in ("impressions", "clicks", "cost")],
@@ -92,10 +88,6 @@ def changed_days_ads(
         F.max("s_rows").alias("s_rows"),
         F.max("w_rows").alias("w_rows"),
     )
-    client = Window.partitionBy("client")
-    days = per_day.withColumns(
-        {"s_client": F.max("s_rows").over(client), "w_client": F.max("w_rows").over(client)}
-    ).where("s_client = 1")
 
     def present(p: str) -> Column:
         return F.col(f"{p}_impressions") + F.col(f"{p}_clicks") + F.col(f"{p}_cost") + F.col(f"{p}_conv") > 0
@@ -110,30 +102,48 @@ def changed_days_ads(
     reason = (
         F.when(present("s") != present("w"), "presence").when(present("s") & differs, "metrics").when(F.col("new_goal"), "new_goal")
     )
-    found = days.withColumn("reason", reason)
-    forced = (
-        found.where("w_client = 0")
-        .groupBy("client")
-        .agg(F.max(F.when(F.col("dt") == F.lit(end), F.col("reason"))).alias("known_reason"))
-        .where(F.col("known_reason").isNull())
-        .select("client", F.lit(end).alias("dt"), F.lit("forced").alias("reason"))
+
+    client = Window.partitionBy("client")
+    is_last = F.col("dt") == F.lit(end)
+    days = per_day.select("client", "dt", reason.alias("reason"), "s_rows", "w_rows").withColumns(
+        {
+            "in_source": F.max("s_rows").over(client) == 1,
+            "never_loaded": F.max("w_rows").over(client) == 0,
+            "last_found": F.max(F.when(is_last & F.col("reason").isNotNull(), 1)).over(client).isNotNull(),
+            "carrier": F.row_number().over(client.orderBy("dt")) == 1,
+        }
+    )
+    forced = F.col("carrier") & F.col("never_loaded") & ~F.col("last_found")
+    found = F.struct("dt", "reason")
+    extra = F.when(forced, F.struct(F.lit(end).alias("dt"), F.lit("forced").alias("reason")))
+    return (
+        days.where(F.col("in_source") & (F.col("reason").isNotNull() | forced))
+        .select("client", F.explode(F.array(found, extra)).alias("day"))
+        .where(F.col("day.reason").isNotNull())
+        .select("client", "day.dt", "day.reason")
     )
-    return found.where(F.col("reason").isNotNull()).select("client", "dt", "reason").unionByName(forced)
 
 
 def new_goal_days(source_daily: DataFrame, known_goals: DataFrame) -> DataFrame:
     """Goals of the source that the warehouse lacks, with the days they have conversions on.
 
-    A goal without conversions gives one row with a null day: it only needs an entry in the
-    goal dimension, no reload.
+    ``source_daily`` is (client, dt, goal_id, conversions). A goal without conversions gives one
+    row with a null day: it only needs an entry in the goal dimension, no reload.
     """
-    fresh = source_daily.join(known_goals.select("client", "goal_id").distinct(), ["client", "goal_id"], "left_anti")
-    per_goal = fresh.groupBy("client", "goal_id").agg(F.max("conversions").alias("most"))
-    hit = fresh.where(F.col("conversions") > 0).select("client", "goal_id", "dt")
-    empty = per_goal.where(F.coalesce(F.col("most"), F.lit(0)) <= 0).select(
-        "client", "goal_id", F.lit(None).cast("date").alias("dt")
+    known = known_goals.select("client", "goal_id").where(F.col("goal_id").isNotNull()).distinct()
+    stacked = source_daily.select("client", "goal_id", "dt", "conversions", F.lit(0).alias("known")).unionByName(
+        known.select("client", "goal_id", F.lit(None).cast("date").alias("dt"), F.lit(0).cast("bigint").alias("conversions"), F.lit(1).alias("known"))
     )
-    return hit.unionByName(empty)
+    goal = Window.partitionBy("client", "goal_id")
+    marked = stacked.withColumns(
+        {
+            "any_known": F.max("known").over(goal),
+            "most": F.max("conversions").over(goal),
+            "rn": F.row_number().over(goal.orderBy("dt")),
+        }
+    ).where("any_known = 0")
+    hit, empty = F.col("conversions") > 0, (F.coalesce("most", F.lit(0)) <= 0) & (F.col("rn") == 1)
+    return marked.where(hit | empty).select("client", "goal_id", F.when(hit, F.col("dt")).alias("dt"))
 
 
 def changed_days_visits(
@@ -155,34 +165,50 @@ def changed_days_visits(
     goals, as totals when the warehouse knows no goal, and not at all for a client with a
     known goal that the source does not report. ``ignored`` goals count as unknown.
     """
-    listed = (source_goals if goal_list is None else goal_list).select("client", "goal_id").distinct()
-    known = (warehouse_goals if known_goals is None else known_goals).select("client", "goal_id").distinct()
-    if ignored is not None:
-        known = known.join(ignored.select("client", "goal_id"), ["client", "goal_id"], "left_anti")
-
-    goals = _sides(source_goals, warehouse_goals, ["conversions"])
-    side = listed.select("client", "goal_id", F.lit(1).alias("listed"), F.lit(0).alias("known")).unionByName(
-        known.select("client", "goal_id", F.lit(0).alias("listed"), F.lit(1).alias("known"))
+    values = ["visits", "conversions"]
+    totals = _sides(source, warehouse, values).drop("s_rows", "w_rows").withColumn("goal_id", F.lit(None).cast("bigint"))
+    goals = _sides(source_goals, warehouse_goals, ["conversions"]).withColumnsRenamed(
+        {"s_conversions": "s_goal", "w_conversions": "w_goal"}
     )
-    dimension = side.groupBy("client", "goal_id").agg(F.max("listed").alias("listed"), F.max("known").alias("known"))
-    per_day = goals.groupBy("client", "dt", "goal_id").agg(_sum("s_conversions"), _sum("w_conversions"))
-    per_goal = per_day.join(dimension, ["client", "goal_id"], "left").groupBy("client", "dt").agg(
-        *[F.coalesce(F.sum(F.when(F.col("known") == 1, F.col(f"{p}_conversions"))), F.lit(0)).alias(f"{p}_known") for p in "sw"],
-        F.max(F.coalesce((F.col("known") == 0) & (F.col("s_conversions") > 0), F.lit(False))).alias("new_goal"),
+    goals = goals.withColumns(
+        {
+            "listed": F.lit(0) if goal_list is not None else F.col("s_rows"),
+            "known": F.lit(0) if known_goals is not None else F.col("w_rows"),
+        }
+    ).drop("s_rows", "w_rows")
+    stacked = totals.unionByName(goals, allowMissingColumns=True)
+    for frame, mark in ((goal_list, "listed"), (known_goals, "known"), (ignored, "ignored")):
+        if frame is not None:
+            stacked = stacked.unionByName(frame.select("client", "goal_id", F.lit(1).alias(mark)), allowMissingColumns=True)
+    if ignored is None:
+        stacked = stacked.withColumn("ignored", F.lit(0))
+
+    marks, sums = ("listed", "known", "ignored"), ("s_visits", "w_visits", "s_conversions", "w_conversions", "s_goal", "w_goal")
+    per_goal = stacked.groupBy("client", "dt", "goal_id").agg(
+        *[_sum(c) for c in sums], *[F.coalesce(F.max(m), F.lit(0)).alias(m) for m in marks]
     )
-    state = dimension.groupBy("client").agg(
-        F.max("known").alias("has_known"), F.max((F.col("known") == 1) & (F.col("listed") == 0)).alias("has_missing")
+    goal, client = Window.partitionBy("client", "goal_id"), Window.partitionBy("client")
+    real = F.col("goal_id").isNotNull()
+    per_goal = (
+        per_goal.repartition("client")
+        .withColumns({m: F.max(m).over(goal) for m in marks})
+        .withColumn("known", real & (F.col("known") == 1) & (F.col("ignored") == 0))
+        .withColumns(
+            {"has_known": F.max("known").over(client), "has_missing": F.max(F.col("known") & (F.col("listed") == 0)).over(client)}
+        )
     )
-    totals = _sides(source, warehouse, ["visits", "conversions"]).groupBy("client", "dt").agg(
-        *[_sum(f"{p}_{v}") for p in "sw" for v in ("visits", "conversions")]
+    days = per_goal.where(F.col("dt").isNotNull()).groupBy("client", "dt").agg(
+        *[_sum(c) for c in sums[:4]],
+        *[F.coalesce(F.sum(F.when(F.col("known"), F.col(f"{p}_goal"))), F.lit(0)).alias(f"{p}_known") for p in "sw"],
+        F.max(real & ~F.col("known") & (F.col("ignored") == 0) & (F.col("s_goal") > 0)).alias("new_goal"),
+        F.max("has_known").alias("has_known"),
+        F.max("has_missing").alias("has_missing"),
     )
-    days = totals.join(per_goal, ["client", "dt"], "left").join(state, "client", "left")
 
     present = {p: F.col(f"{p}_visits") + F.col(f"{p}_conversions") > 0 for p in "sw"}
-    known_differs = F.coalesce(F.col("s_known"), F.lit(0)) != F.coalesce(F.col("w_known"), F.lit(0))
     conversions_differ = (
-        F.when(F.coalesce(F.col("has_missing"), F.lit(False)), False)
-        .when(F.coalesce(F.col("has_known"), F.lit(0)) == 1, known_differs)
+        F.when(F.col("has_missing"), False)
+        .when(F.col("has_known"), F.col("s_known") != F.col("w_known"))
         .otherwise(F.col("s_conversions") != F.col("w_conversions"))
     )
     if not compare_conversions:
@@ -192,9 +218,9 @@ def changed_days_visits(
         F.when(present["s"] != present["w"], "presence")
         .when(any_present & (F.col("s_visits") != F.col("w_visits")), "visits")
         .when(any_present & conversions_differ, "conversions")
-        .when(F.coalesce(F.col("new_goal"), F.lit(False)), "new_goal")
+        .when(F.col("new_goal"), "new_goal")
     )
-    return days.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("client", "dt", "reason")
+    return days.select("client", "dt", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def goal_deltas(source_goals: DataFrame, warehouse_goals: DataFrame, limit: int = 15) -> DataFrame:

@@ -11,20 +11,36 @@ SHARE = 64
 SALTS = 32
 
 
-def skew_join(one: DataFrame, many: DataFrame, keys: Sequence[str], *, share: int = SHARE, salts: int = SALTS) -> DataFrame:
-    """Inner equi-join of a side with unique keys to a side that may have a few very frequent ones.
-
-    Keys that hold more than one in ``share`` rows of ``many`` are found with a frequency
-    sketch of fixed size in one pass over the key columns. There are fewer than ``share`` of
-    them, so the list that every task gets has a fixed bound. Rows of such a key are dealt
-    to ``salts`` groups and the single partner row is copied to each; all other rows join
-    once as usual. A wrong estimate changes the spread of the work, never the result.
+def skew_join(
+    one: DataFrame,
+    many: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    *,
+    counted: DataFrame | None = None,
+    share: int = SHARE,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Equi-join of a side with unique keys to a side that may have a few very frequent ones.
+
+    ``inner``, or ``left`` to keep the rows of ``many`` that have no partner.
+
+    Keys that hold more than one in ``share`` rows are found with a frequency sketch of fixed
+    size in one pass over the key columns of ``counted``: by default ``many``, better a cheap
+    scan with about the same keys where ``many`` is costly to compute. There are fewer than
+    ``share`` such keys, so the list that every task gets has a fixed bound. Rows of such a key
+    are dealt to ``salts`` groups and the single partner row is copied to each; all other rows
+    join once as usual. A wrong estimate changes the spread of the work, never the result.
 
     The group of a row depends on its content and its partition only, so a task that runs
     again after the loss of an executor deals its rows the same way.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type: {how}")
     hashed = F.xxhash64(*keys)
-    top = many.select(F.call_function("approx_top_k", hashed, F.lit(share), F.lit(4 * share)).alias("top"), F.count("*").alias("n"))
+    top = (many if counted is None else counted).select(
+        F.call_function("approx_top_k", hashed, F.lit(share), F.lit(4 * share)).alias("top"), F.count("*").alias("n")
+    )
     frequent = F.filter("top", lambda t: t.getField("count") * share > F.col("n"))
     hot = top.select(F.transform(frequent, lambda t: t.getField("item"))).scalar()
     is_hot = F.array_contains(F.coalesce(hot, F.array().cast("array<bigint>")), hashed)
@@ -33,4 +49,5 @@ def skew_join(one: DataFrame, many: DataFrame, keys: Sequence[str], *, share: in
     spread = many.withColumn("__salt", F.when(is_hot, deal).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copied = one.withColumn("__salts", copies).withColumn("__salt", F.explode("__salts")).drop("__salts")
-    return copied.join(spread, [*keys, "__salt"]).drop("__salt")
+    on = [*keys, "__salt"]
+    return (copied.join(spread, on) if how == "inner" else spread.join(copied, on, "left")).drop("__salt")
