@@ -82,13 +82,16 @@ class Warehouse:
             self._laid_out(df, order).write.partitionBy(PART).format("parquet").saveAsTable(self._name(table))
 
     def _conform(self, table: str, df: DataFrame) -> DataFrame:
-        """Stored column order; absent columns take their default, 0 for goal columns and null otherwise."""
+        """Stored columns, order and types; absent columns take their default, 0 for goal columns, else null.
+
+        A value that does not fit the stored type fails the write under ANSI mode, Spark's default.
+        """
         stored = self.spark.table(self._name(table)).schema
         have = set(df.columns)
 
         def column(f: T.StructField) -> Column:
             if f.name in have:
-                return F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+                return F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
             default = f.metadata.get("CURRENT_DEFAULT") if f.metadata else None
             return (F.expr(default) if default else F.lit(None)).cast(f.dataType).alias(f.name)
 
@@ -203,7 +206,7 @@ class Warehouse:
         kept = self.spark.table(name).where(F.col(PART).isin(*parts)).join(gone, on, "left_anti")
         rows = kept.drop(PART)
         if new is not None:
-            rows = rows.unionByName(new, allowMissingColumns=True)
+            rows = rows.unionByName(self._conform(table, new).drop(PART))
         written = Observation()
         out = self._conform(table, self._laid_out(rows, ("client", "Date")))
         out = out.observe(written, F.collect_set(PART).alias("parts"))
