@@ -34,6 +34,10 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # wide projections: code too large for the JIT is run as split methods instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # no Python call-site capture per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     scratch = tempfile.mkdtemp(prefix="funnelbook-bench-")
     builder = builder.config("spark.sql.warehouse.dir", f"{scratch}/warehouse")

@@ -61,69 +61,48 @@ def flatten_structs(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*leaves(df.schema, None, ""))
 
 
-def _inner_entries(text: Column, prefix: Column, depth: int) -> Column:
-    """Entries below the inner objects of a JSON object, keys joined by ``_``, shallow ones first."""
-
-    def entries(t: Column) -> Column:
-        return F.map_entries(F.from_json(t, "map<string,string>"))
-
-    def inner(found: Column) -> Column:
-        objects = F.filter(found, lambda e: e["value"].startswith("{") & (e["value"] != "{}"))
-        below = F.transform(
-            objects,
-            lambda o: F.transform(
-                entries(o["value"]), lambda e: F.struct(F.concat_ws("_", o["key"], e["key"]).alias("key"), e["value"].alias("value"))
-            ),
-        )
-        return F.flatten(below)
-
-    level = inner(F.transform(entries(text), lambda e: F.struct(F.concat(prefix, e["key"]).alias("key"), e["value"].alias("value"))))
-    levels = [level]
-    for _ in range(depth - 2):
-        levels.append(inner(levels[-1]))
-    return F.concat(*levels)
-
-
 def flatten_json(df: DataFrame, roots: Sequence[str], targets: Sequence[str], depth: int = 2) -> DataFrame:
     """Columns ``<root>_<key>[_<key>..]`` read from JSON text columns, for a given target list.
 
     The key set may differ from row to row; no schema is discovered, each target is looked up.
-    Direct keys are parsed into a fixed structure. Inner objects, nested or string-encoded and
-    down to ``depth`` levels, are opened only in rows whose text has a second brace. A direct
-    key wins over a nested path of the same name. An empty inner object is kept as ``{}``.
+    A key may itself contain ``_``, so each split of the target is a possible path; the
+    shallowest path that has a value wins. Inner objects may be nested or string-encoded, down
+    to ``depth`` levels. An empty inner object is kept as the text ``{}``.
+
+    Every object is parsed once per row, into the keys that some target can need, and an absent
+    one costs a null check. Each level is its own projection, so a parsed object is shared by
+    all its targets.
     """
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in roots and c not in targets]
-    direct, nested, paths = {}, [], {t: [] for t in targets}
+    kept = [c for c in df.columns if c not in roots and c not in targets]
+    paths: dict[str, list[Column]] = {t: [] for t in targets}
+    # objects of the current level: their text, and for each target what is left of its name
+    level: list[tuple[Column, dict[str, str]]] = []
     for r in sorted(roots, key=len, reverse=True):
         rests = {t: t[len(r) + 1:] for t in targets if t.startswith(f"{r}_")}
-        if not rests:
-            continue
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in rests.values()])
-        direct[f"__{r}"] = F.from_json(F.col(r), schema)
-        for t, rest in rests.items():
-            paths[t].append(F.col(f"__{r}").getField(rest))
-        if depth > 1:
-            has_inner = F.instr(F.substring(F.col(r), 2, 1 << 30), "{") > 0
-            nested.append(F.when(has_inner, _inner_entries(F.col(r), F.lit(f"{r}_"), depth)))
-    out = df.select(
-        *kept, *[c.alias(n) for n, c in direct.items()], *([F.flatten(F.array_compact(F.array(*nested))).alias("__e")] if nested else [])
+        if rests:
+            level.append((F.col(r), rests))
+    out, parsed = df, list[str]()
+    for step in range(depth):
+        fresh, following = {}, []
+        for text, rests in level:
+            inner: dict[str, dict[str, str]] = {}
+            for t, rest in rests.items() if step + 1 < depth else ():
+                parts = rest.split("_")
+                for i in range(1, len(parts)):
+                    inner.setdefault("_".join(parts[:i]), {})[t] = "_".join(parts[i:])
+            keys = dict.fromkeys([*rests.values(), *inner])
+            name = f"__o{len(parsed) + len(fresh)}"
+            fresh[name] = F.from_json(text, T.StructType([T.StructField(k, T.StringType()) for k in keys]))
+            for t, rest in rests.items():
+                paths[t].append(F.col(f"{name}.{rest}"))
+            following += [(F.col(f"{name}.{prefix}"), left) for prefix, left in inner.items()]
+        out = out.select(*[F.col(f"`{c}`") for c in kept], *parsed, *[c.alias(n) for n, c in fresh.items()])
+        parsed += fresh
+        level = following
+    return out.select(
+        *[F.col(f"`{c}`") for c in kept],
+        *[(F.coalesce(*p) if p else F.lit(None).cast("string")).alias(t) for t, p in paths.items()],
     )
-    if nested:
-        # a map refuses repeated keys, so in the rare row that has some the first of each is kept
-        keys = F.transform("__e", lambda e: e["key"])
-        first = F.filter("__e", lambda e, i: F.array_position(F.transform("__e", lambda x: x["key"]), e["key"]) == i + 1)
-        unique = F.when(F.size(F.array_distinct(keys)) < F.size("__e"), first).otherwise(F.col("__e"))
-        wanted = T.StructType([T.StructField(t, T.StringType()) for t in targets if paths[t]])
-        text = F.when(F.size("__e") > 0, F.to_json(F.map_from_entries(unique)))
-        out = out.withColumn("__inner", F.from_json(text, wanted)).drop("__e")
-
-    def target(t: str) -> Column:
-        found = list(paths[t])
-        if nested and found:
-            found.append(F.col("__inner").getField(t))
-        return (F.coalesce(*found) if found else F.lit(None).cast("string")).alias(t)
-
-    return out.select(*kept, *[target(t) for t in targets])
 
 
 def coalesce_aliases(df: DataFrame, target: str, names: Sequence[str]) -> DataFrame:

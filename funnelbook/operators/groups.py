@@ -56,37 +56,17 @@ def attach_group(stats: DataFrame, plans: DataFrame) -> DataFrame:
 
 
 def normalize_groups(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Nested metric groups (JSON text) to the fixed columns; absent metrics are 0, absent texts null.
-
-    The metrics are converted as two arrays, not column by column: code generated for some
-    fifty lenient casts is too large for the JIT compiler and runs many times slower.
-    """
+    """Nested metric groups (JSON text) to the fixed columns; absent metrics are 0, absent texts null."""
     roots = [r for r in METRIC_ROOTS if r in df.columns]
     wanted = [c for c in GROUP_COLUMNS if c not in df.columns]
     aliases = [a for a in GOAL_ALIASES if a not in wanted and a not in df.columns]
     flat = coalesce_aliases(flatten_json(df, roots, [*wanted, *aliases]), "base_vk_goals", GOAL_ALIASES)
-    texts = {c: t for c, t in GROUP_COLUMNS.items() if t not in ("bigint", "double")}
-    longs = [c for c, t in GROUP_COLUMNS.items() if t == "bigint"]
-    doubles = [c for c, t in GROUP_COLUMNS.items() if t == "double"]
-
-    def each(columns: list[str], convert, zero) -> Column:
-        texts = F.array(*[F.col(c).cast("string") for c in columns])
-        return F.transform(texts, lambda x: F.when(x.isNotNull(), convert(x)).otherwise(zero))
-
-    packed = flat.select(
-        *keep,
-        *[F.col(c).try_cast(t).alias(c) for c, t in texts.items()],
-        each(longs, lenient_long, F.lit(0).cast("bigint")).alias("__longs"),
-        each(doubles, lenient_double, F.lit(0.0)).alias("__doubles"),
-    )
+    lenient = {"bigint": lenient_long, "double": lenient_double}
 
-    def unpack(c: str) -> Column:
-        for columns, name in ((longs, "__longs"), (doubles, "__doubles")):
-            if c in columns:
-                return F.get(name, F.lit(columns.index(c))).alias(c)
-        return F.col(c)
+    def column(c: str, kind: str) -> Column:
+        return (lenient[kind](F.col(c)) if kind in lenient else F.col(c).try_cast(kind)).alias(c)
 
-    return packed.select(*keep, *[unpack(c) for c in GROUP_COLUMNS])
+    return flat.select(*keep, *[column(c, t) for c, t in GROUP_COLUMNS.items()])
 
 
 def active_clients(clients: DataFrame, daily: DataFrame, start: date, end: date) -> DataFrame:
