@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..plans.windows import resolve_window
 
@@ -115,8 +116,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table; its schema is read from the file once per process."""
+    path = f"{sf}/{name}.parquet"
+    if (sf, name) not in _SCHEMAS:
+        _SCHEMAS[sf, name] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[sf, name]).parquet(path)
 
 
 def view(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -4,20 +4,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _own_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"funnelbook-{application}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the one named in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) a temporary folder is made and
-    remembered in the session, so that a cluster never writes to a machine-local path.
+    Only where the session does not name one (tests, a laptop) a temporary folder is made, once
+    per application, so that a cluster never writes to a machine-local path.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="funnelbook-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own_dir(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
