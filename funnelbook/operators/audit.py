@@ -46,10 +46,11 @@ def newest_runs(runs: DataFrame, limit: int = NEWEST_RUNS) -> DataFrame:
 def fan_out(runs: DataFrame, admins: DataFrame) -> DataFrame:
     """One alert per run and admin.
 
-    The admin list travels as one small array whose size is checked; a list beyond the bound
-    fails instead of being cut.
+    The admin list travels as one small array. No more than one id beyond the bound is ever
+    gathered, and a list that long fails the job instead of being cut.
     """
-    ids = admins.agg(F.array_sort(F.collect_set("admin_id")).alias("a"))
+    some = admins.select("admin_id").distinct().limit(ADMIN_BOUND + 1)
+    ids = some.agg(F.array_sort(F.collect_set("admin_id")).alias("a"))
     bounded = ids.select(
         F.when(F.size("a") <= ADMIN_BOUND, F.col("a")).otherwise(F.raise_error(F.lit("too many admins")).cast("array<bigint>"))
     ).scalar()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_visit_ts
@@ -15,6 +15,9 @@ from ..plans.skew import skew_join
 # Fixed value: this goal id never counts as a goal of a campaign.
 EXCLUDED_GOAL = 12
 
+# Most goals a client may have where they are gathered into one row.
+GOAL_BOUND = 10_000
+
 # Campaign kinds that carry priority goals.
 CAMPAIGN_KINDS = ("TextCampaign", "DynamicTextCampaign", "SmartCampaign")
 
@@ -60,11 +63,15 @@ def goal_flags(hits: DataFrame, goals: DataFrame) -> DataFrame:
 def goal_sums(visits: DataFrame, goals: DataFrame, ids: str, counted: DataFrame | None = None) -> DataFrame:
     """Adds ``g_sum_goal`` and ``u_sum_goal`` to each visit.
 
-    The goal ids of a client fit one row (a counter has a few hundred at most), so the join is
-    on the client and the visit rows are neither exploded nor grouped. ``counted`` may name a
+    The goal ids of a client fit one row (a counter has a few hundred; beyond ``GOAL_BOUND`` the
+    job fails), so the join is on the client and visit rows are neither exploded nor grouped. ``counted`` may name a
     cheaper frame with about the same client frequencies as ``visits``.
     """
-    per_client = goals.groupBy("client").agg(
+    w = Window.partitionBy("client").orderBy("goal_id")
+    bounded = goals.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= GOAL_BOUND + 1)
+    too_many = F.raise_error(F.lit("too many goals for one client")).cast("bigint")
+    checked = bounded.withColumn("goal_id", F.when(F.col("__rn") <= GOAL_BOUND, F.col("goal_id")).otherwise(too_many))
+    per_client = checked.groupBy("client").agg(
         F.collect_set("goal_id").alias("__u"),
         F.collect_set(F.when(F.col("class") == "g", F.col("goal_id"))).alias("__g"),
     )

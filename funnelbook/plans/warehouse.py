@@ -51,7 +51,7 @@ class Warehouse:
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self._name(table))
 
-    def _part(self, day: str | Column, client: str = "client") -> Column:
+    def _part(self, day: str | Column, client: str | Column = "client") -> Column:
         bucket = F.lpad(F.pmod(F.xxhash64(client), F.lit(self.buckets)).cast("string"), 3, "0")
         return F.concat_ws("-", F.coalesce(F.date_format(day, PERIODS[self.period][0]), F.lit("0")), bucket)
 
@@ -66,9 +66,15 @@ class Warehouse:
         return df.drop(PART)
 
     def _laid_out(self, df: DataFrame, order: Iterable[str]) -> DataFrame:
-        """Rows gathered by partition for few files; AQE splits partitions that are too large for one task."""
-        with_part = df.withColumn(PART, self._part("Date"))
-        return with_part.hint("rebalance", PART).sortWithinPartitions(PART, *order)
+        """Rows gathered by partition for few files; AQE splits partitions that are too large for one task.
+
+        A table without ``Date`` or ``client`` (credentials, goals) has one period or one bucket.
+        Columns of the sort order that are absent are left out, down to the first column.
+        """
+        day = F.col("Date") if "Date" in df.columns else F.lit(None).cast("date")
+        client = F.col("client") if "client" in df.columns else F.lit(None).cast("string")
+        keys = [c for c in order if c in df.columns] or df.columns[:1]
+        return df.withColumn(PART, self._part(day, client)).hint("rebalance", PART).sortWithinPartitions(PART, *keys)
 
     # -- append and schema -------------------------------------------------------------------
 
@@ -81,6 +87,17 @@ class Warehouse:
         else:
             self._laid_out(df, order).write.partitionBy(PART).format("parquet").saveAsTable(self._name(table))
 
+    def replace_table(self, table: str, df: DataFrame, order: Iterable[str] = ("client", "Date")) -> None:
+        """Full replace. ``df`` may be derived from the table: it is written in full beside it first."""
+        staged = materialise(df, f"{self.location}/staged-{uuid.uuid4().hex}")
+        if not self.exists(table):
+            self.write(table, staged, order)
+            return
+        self.add_missing_columns(table, staged)
+        with self._overwrite_mode("static"):
+            self._conform(table, self._laid_out(staged, order)).write.insertInto(self._name(table), overwrite=True)
+        self.spark.catalog.refreshTable(self._name(table))
+
     def _conform(self, table: str, df: DataFrame) -> DataFrame:
         """Stored columns, order and types; absent columns take their default, 0 for goal columns, else null.
 
@@ -185,11 +202,11 @@ class Warehouse:
         return removed
 
     @contextmanager
-    def _dynamic_overwrite(self):
-        """Only partitions that get rows are replaced, and a table may be read while it is written."""
+    def _overwrite_mode(self, mode: str):
+        """``dynamic``: only partitions that get rows are replaced, and a table may be read while it is written."""
         key = "spark.sql.sources.partitionOverwriteMode"
         before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "dynamic")
+        self.spark.conf.set(key, mode)
         try:
             yield
         finally:
@@ -210,7 +227,7 @@ class Warehouse:
         written = Observation()
         out = self._conform(table, self._laid_out(rows, ("client", "Date")))
         out = out.observe(written, F.collect_set(PART).alias("parts"))
-        with self._dynamic_overwrite():
+        with self._overwrite_mode("dynamic"):
             out.write.insertInto(name, overwrite=True)
         for part in sorted(set(parts) - set(written.get["parts"] or [])):
             self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PART} = '{part}')")

@@ -8,6 +8,7 @@ from ..operators.access import (
     delete_access, import_access, keep_favourites, latest, lookup_access, pick_credential, read_access, refresh_agency, split_access,
     upsert_access, with_legacy,
 )
+from ..plans.warehouse import Warehouse
 from ..sources.access_files import access_export
 from .base import query, table, view
 
@@ -137,6 +138,16 @@ def q_access_upsert(spark, sf):
     return _filled(upsert_access(view(spark, sf, "access"), incoming, "ads", "not_agency_token", replace=True))
 
 
+@query("access_store", _upserted("ads:not_agency_token", INCOMING))
+def q_access_store(spark, sf):
+    incoming = spark.sql(INCOMING, **{t: table(spark, sf, t) for t in ("orders", "customer", "nation")})
+    house = Warehouse(spark, buckets=1)
+    house.write("accesses", view(spark, sf, "access").drop("seq"), ("type", "container", "login"))
+    updated = upsert_access(house.read("accesses"), incoming, "ads", "not_agency_token", replace=True)
+    house.replace_table("accesses", updated, ("type", "container", "login"))
+    return _filled(house.read("accesses"))
+
+
 CLIENT_LISTS = """SELECT n_name AS container, translate('new_' || n_name || '.' || CAST(c_custkey % 300 AS STRING), '_.', '--') AS login,
                          'agency-' || n_name AS token FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey GROUP BY 1, 2, 3"""
 

@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from funnelbook.operators.calls import CANONICAL, calls_leads
@@ -55,6 +56,13 @@ def test_goal_flags_sums_and_dimension(spark):
     assert [tuple(r) for r in wide] == [(1, 0), (0, 0), (1, 0)]
 
 
+def test_too_many_goals_fail(spark):
+    dim = spark.range(10_001).selectExpr("'a' AS client", "id AS goal_id", "'u' AS class")
+    visits = spark.createDataFrame([("a", [1])], "client string, ids array<bigint>")
+    with pytest.raises(Exception, match="too many goals"):
+        goal_sums(visits, dim, "ids").collect()
+
+
 def test_batches_pivot_stale_and_legacy(spark):
     low = spark.createDataFrame([("k", 5, 1), ("m", 6, 2)], "key string, clicks int, conv_1 bigint")
     high = spark.createDataFrame([("m", 6, 9), ("k", 5, 7)], "key string, clicks int, conv_2 bigint")

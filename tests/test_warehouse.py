@@ -106,6 +106,20 @@ def test_additive_schema_and_order(spark, house):
     assert got == {(1, None, None), (9, "x", None)}
 
 
+def test_replace_table_from_itself_and_without_dates(spark, house):
+    house.write("t", rows(spark, OLD))
+    house.replace_table("t", house.read("t").where("client = 'a'").selectExpr("*", "1 AS extra"))
+    assert stored(house) == OLD[:3] and house.read("t").columns == ["client", "Date", "clicks", "extra"]
+    house.replace_table("t", house.read("t").limit(0))
+    assert stored(house) == []
+    goals = rows(spark, [("a", 1)], "client string, goal_id bigint")
+    house.write("goals", goals)
+    house.replace_table("goals", house.read("goals").unionByName(goals))
+    assert house.read("goals").count() == 2
+    house.replace_table("plain", rows(spark, [("x",)], "login string"), ("type",))
+    assert house.read("plain").collect() == [("x",)]
+
+
 def test_type_upgrade_counts_bad_values(spark, house):
     house.write("t", rows(spark, [("a", d(1, 1), "5"), ("a", d(1, 2), "x"), ("b", d(2, 1), None)], "client string, Date date, clicks string"))
     assert house.upgrade_types("t", {"clicks": "bigint", "client": "string"}) == {"clicks": 1}
