@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timedelta
 from functools import reduce
 
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import age_days
+from ..functions.text import blank_to_null, strip
 from .summaries import last_dates
 
 # States that count as failed, the tag that is left out, and the defaults of the reports.
@@ -43,6 +44,29 @@ def newest_runs(runs: DataFrame, limit: int = NEWEST_RUNS) -> DataFrame:
     return runs.orderBy(F.col("end_time").desc(), F.col("id").desc()).limit(limit)
 
 
+def recent_alerts(alerts: DataFrame, limit: int = RECENT_ALERTS) -> DataFrame:
+    """The last alerts, newest first."""
+    return newest_runs(alerts, limit)
+
+
+def cleanup_entries(entries: DataFrame, sources: Sequence[str], selected: str | None = None) -> DataFrame:
+    """Typed clean-up entries ``client`` or ``source:client`` with their source, client and error code.
+
+    Without a selected source each entry must name one; with one, an entry may name no other.
+    """
+    entry = strip(F.col("entry"))
+    named = entry.contains(":")
+    parts = F.split(entry, ":", 2)
+    source = F.when(named, F.lower(strip(F.get(parts, F.lit(0))))).otherwise(F.lit(selected))
+    client = blank_to_null(F.when(named, F.get(parts, F.lit(1))).otherwise(entry))
+    known = F.coalesce(source.isin(*sources), F.lit(False))
+    if selected is not None:
+        known = known & (source == selected)
+    error = F.when(client.isNull(), "no_client").when(~known, "bad_source")
+    ok = error.isNull()
+    return entries.withColumns({"source": F.when(ok, source), "client": F.when(ok, client), "error": error})
+
+
 def fan_out(runs: DataFrame, admins: DataFrame) -> DataFrame:
     """One alert per run and admin.
 

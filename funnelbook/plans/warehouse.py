@@ -187,12 +187,17 @@ class Warehouse:
         self.range_replace(table, new, clients.select("client", F.lit(start).alias("start"), F.lit(end).alias("end")))
 
     def cleanup_clients(self, clients: DataFrame, tables: Iterable[str]) -> int:
-        """Remove all rows of the listed clients from the tables; counts the (table, client) pairs removed."""
-        gone = materialise(clients.select("client").distinct(), f"{self.location}/gone-{uuid.uuid4().hex}")
+        """Remove all rows of the listed clients from the tables; counts the (table, client) pairs removed.
+
+        A ``source`` column in ``clients`` limits a row to the table of that name.
+        """
+        names = [c for c in ("source", "client") if c in clients.columns]
+        every = materialise(clients.select(*names).distinct(), f"{self.location}/gone-{uuid.uuid4().hex}")
         removed = 0
         for table in tables:
             if not self.exists(table):
                 continue
+            gone = every.where(F.col("source") == table).drop("source") if "source" in names else every
             stored = self.spark.table(self._name(table))
             hit = stored.join(gone, "client", "left_semi")
             parts, count = hit.agg(F.collect_set(PART), F.count_distinct("client")).first()

@@ -8,6 +8,7 @@ from ..operators.access import (
     delete_access, import_access, keep_favourites, latest, lookup_access, pick_credential, read_access, refresh_agency, split_access,
     upsert_access, with_legacy,
 )
+from ..operators.users import add_users, delete_users, users_by_role
 from ..plans.warehouse import Warehouse
 from ..sources.access_files import access_export
 from .base import query, table, view
@@ -171,6 +172,46 @@ def q_access_delete(spark, sf):
     return _filled(delete_access(view(spark, sf, "access").drop("seq"), "shop-NATION_1-1", "ads"))
 
 
+USERS = "SELECT user_id AS id, 'u' || CAST(user_id % 40 AS STRING) AS name, event_type AS role, event_id AS version FROM {events}"
+
+
+def _users(spark, sf):
+    return spark.sql(USERS, events=table(spark, sf, "events"))
+
+
+@query(
+    "users_by_role",
+    f"""WITH u AS ({USERS}) SELECT id, name, role FROM u
+        WHERE role = 'click' AND version = (SELECT MAX(version) FROM u x WHERE x.id = u.id)""",
+)
+def q_users_by_role(spark, sf):
+    return users_by_role(_users(spark, sf), "click")
+
+
+@query(
+    "users_add",
+    f"""WITH u AS ({USERS}) SELECT c_custkey AS id, c_name AS name, c_mktsegment AS role, CAST(7 AS BIGINT) AS version FROM {{customer}}
+        WHERE c_custkey > 0 AND c_custkey NOT IN (SELECT id FROM u)""",
+)
+def q_users_add(spark, sf):
+    fresh = table(spark, sf, "customer").select(
+        F.concat(F.lit(" "), F.col("c_custkey").cast("string")).alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("role")
+    )
+    return add_users(_users(spark, sf), fresh, 7)
+
+
+@query(
+    "users_delete",
+    f"""WITH u AS ({USERS}) SELECT * FROM u WHERE id NOT IN (SELECT s_suppkey FROM {{supplier}} WHERE s_acctbal > 5000 AND s_suppkey > 0)
+        AND name NOT IN (SELECT 'u' || CAST(s_nationkey AS STRING) FROM {{supplier}} WHERE s_acctbal < 0)""",
+)
+def q_users_delete(spark, sf):
+    supplier = table(spark, sf, "supplier")
+    ids = supplier.where("s_acctbal > 5000").select(F.col("s_suppkey").cast("string").alias("identifier"))
+    names = supplier.where("s_acctbal < 0").select(F.concat(F.lit("u"), F.col("s_nationkey").cast("string")).alias("identifier"))
+    return delete_users(_users(spark, sf), ids.union(names))
+
+
 @query(
     "latest_role",
     """SELECT user_id AS id, event_type AS role, event_id AS version FROM {events} e

@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from ..operators.audit import failed, fan_out, newest_runs, stale_clients
+from ..operators.audit import cleanup_entries, failed, fan_out, newest_runs, recent_alerts, stale_clients
 from ..session import shared_dir
 from ..streaming.monitor import failed_run_stream, write_alerts
 from .base import query, table, view
@@ -41,12 +41,33 @@ def q_failed_runs(spark, sf):
     return newest.select("id", "state", F.date_trunc("second", "end_time").cast("timestamp_ntz").alias("end_time"), "tag")
 
 
+@query(
+    "cleanup_entries",
+    """SELECT id, COALESCE(CASE WHEN ok THEN src END, '-') AS source, COALESCE(CASE WHEN ok THEN cl END, '-') AS client, ok FROM (
+           SELECT event_id AS id, event_type AS src, 'c' || CAST(user_id AS STRING) AS cl, event_type IN ('click', 'view') AS ok FROM {events}) x""",
+)
+def q_cleanup_entries(spark, sf):
+    kind = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.concat(F.lit(" "), F.upper("event_type"), F.lit(":")))
+    entry = F.concat(kind, F.lit(" c"), F.col("user_id").cast("string"))
+    parsed = cleanup_entries(table(spark, sf, "events").select(F.col("event_id").alias("id"), entry.alias("entry")), ["click", "view"])
+    text = [F.coalesce(c, F.lit("-")).alias(c) for c in ("source", "client")]
+    return parsed.select("id", *text, F.col("error").isNull().alias("ok"))
+
+
 @query("alert_fanout", f"SELECT id, CAST(r_regionkey AS BIGINT) AS admin_id FROM {{runs}}, {{region}} WHERE {FAILED}")
 def q_alert_fanout(spark, sf):
     admins = table(spark, sf, "region").select(F.col("r_regionkey").cast("bigint").alias("admin_id"))
     return fan_out(failed(_runs(spark, sf), SINCE, states=("ERROR",)).select("id"), admins)
 
 
+@query(
+    "recent_alerts",
+    f"SELECT id, state, tag FROM {{runs}} WHERE {FAILED} ORDER BY runs.end_time DESC, id DESC LIMIT 20",
+)
+def q_recent_alerts(spark, sf):
+    return recent_alerts(failed(_runs(spark, sf), SINCE, states=("ERROR",))).select("id", "state", "tag")
+
+
 @query("failed_runs_stream", f"SELECT id, user_id FROM {{runs}} WHERE {FAILED}")
 def q_failed_runs_stream(spark, sf):
     events = table(spark, sf, "events")

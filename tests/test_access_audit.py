@@ -9,7 +9,8 @@ from funnelbook.operators.access import (
     agencies, delete_access, import_access, keep_favourites, latest, lookup_access, pick_credential, read_access, refresh_agency, split_access,
     upsert_access, with_legacy,
 )
-from funnelbook.operators.audit import failed, fan_out, newest_runs, stale_clients
+from funnelbook.operators.audit import cleanup_entries, failed, fan_out, newest_runs, stale_clients
+from funnelbook.operators.users import add_users, delete_users, users_by_role
 from funnelbook.session import shared_dir
 from funnelbook.sources.access_files import access_export, export_csv, read_access_file
 from funnelbook.sources.pages import zip_dims_metrics
@@ -155,6 +156,26 @@ def test_latest(spark):
     assert {(r.id, r.role) for r in latest(df, "id", "v").collect()} == {(1, "admin"), (2, "user")}
 
 
+def test_users(spark):
+    log = spark.createDataFrame([(1, "a", "User", 1), (1, "a", "Admin", 2), (2, "b", "Admin", 1), (2, "b", "User", 3)], "id bigint, name string, role string, version bigint")
+    assert [r.id for r in users_by_role(log, " Admin ").collect()] == [1]
+    fresh = spark.createDataFrame([("1", "a", "User"), ("3", " c ", None), ("x", "d", "User")], "id string, name string, role string")
+    assert add_users(log, fresh, 9).collect() == [(3, "c", "", 9)]
+    gone = spark.createDataFrame([("1",), ("b",), (" ",), (None,)], "identifier string")
+    assert delete_users(log, gone).count() == 0 and delete_users(log, gone.limit(1)).count() == 2
+
+
+def test_cleanup_entries(spark):
+    def parse(values, selected=None):
+        df = spark.createDataFrame([(v,) for v in values], "entry string")
+        return [(r.source, r.client, r.error) for r in cleanup_entries(df, ["ads", "calls"], selected).collect()]
+
+    assert parse(["ADS: x", "x", "odd:x", "ads:", "ads:a:b"]) == [
+        ("ads", "x", None), (None, None, "bad_source"), (None, None, "bad_source"), (None, None, "no_client"), ("ads", "a:b", None)
+    ]
+    assert parse(["x", "calls:x", "ads:y"], "ads") == [("ads", "x", None), (None, None, "bad_source"), ("ads", "y", None)]
+
+
 RUNS = "id string, state string, end_time timestamp_ntz, tags array<string>"
 
 

@@ -77,6 +77,8 @@ def test_erase_and_cleanup(spark, house):
     assert stored(house) == [OLD[0], OLD[3], OLD[4]]
     assert house.cleanup_clients(rows(spark, [("b",), ("zz",)], "client string"), ["t", "absent"]) == 1
     assert stored(house) == [OLD[0]]
+    other = rows(spark, [("elsewhere", "a")], "source string, client string")
+    assert house.cleanup_clients(other, ["t"]) == 0 and stored(house) == [OLD[0]]
     house.erase_range("absent", clients, d(1, 1), d(1, 1))
     assert not house.exists("absent")
 
