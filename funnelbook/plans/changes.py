@@ -103,14 +103,16 @@ def changed_days_ads(
         F.when(present("s") != present("w"), "presence").when(present("s") & differs, "metrics").when(F.col("new_goal"), "new_goal")
     )
 
-    client = Window.partitionBy("client")
+    # one order for all of them, so that one sort serves
+    by_day = Window.partitionBy("client").orderBy("dt")
+    client = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     is_last = F.col("dt") == F.lit(end)
     days = per_day.select("client", "dt", reason.alias("reason"), "s_rows", "w_rows").withColumns(
         {
             "in_source": F.max("s_rows").over(client) == 1,
             "never_loaded": F.max("w_rows").over(client) == 0,
             "last_found": F.max(F.when(is_last & F.col("reason").isNotNull(), 1)).over(client).isNotNull(),
-            "carrier": F.row_number().over(client.orderBy("dt")) == 1,
+            "carrier": F.row_number().over(by_day) == 1,
         }
     )
     forced = F.col("carrier") & F.col("never_loaded") & ~F.col("last_found")

@@ -49,6 +49,6 @@ def skew_join(
     deal = F.pmod(F.xxhash64(*content) + F.spark_partition_id(), F.lit(salts)).cast("int")
     spread = many.withColumn("__salt", F.when(is_hot, deal).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = one.withColumn("__salts", copies).withColumn("__salt", F.explode("__salts")).drop("__salts")
+    copied = one.withColumn("__salts", copies).withColumn("__salt", F.explode_outer("__salts")).drop("__salts")
     on = [*keys, "__salt"]
     return (copied.join(spread, on) if how == "inner" else spread.join(copied, on, "left")).drop("__salt")
