@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, sentence_pieces, simhash, token_counts, top_k, url_filter
+from . import decontaminate, licenses, quality, sentence_pieces, simhash, token_counts, top_k, url_filter, warc
 from .common import table
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.archive(table(spark, sf_dir, "pages")))
+
+
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return top_k.top_k(vectors, vectors.where("vec_id % 50 = 0"))
@@ -34,6 +38,15 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_exact_top_k, op4_benchmark_decontamination, op7_token_counts, op8_sentence_pieces, op9_simhash_near_duplicates, op10_url_filter,
+    op1_warc_index, op2_exact_top_k, op3_quality, op4_benchmark_decontamination, op6_license_scan, op7_token_counts, op8_sentence_pieces,
+    op9_simhash_near_duplicates, op10_url_filter,
 )}
