@@ -85,6 +85,21 @@ def _spans(text: str, flags: np.ndarray) -> list[dict]:
     return spans
 
 
+def _passes(benchmark: DataFrame, window: int, item_col: str, item_text_col: str) -> list[list[tuple[str, str | None]]]:
+    """The items, dealt to passes of at most ``AUTOMATON_CHARS`` pattern characters (one item at least)."""
+    passes: list[list[tuple[str, str | None]]] = [[]]
+    held = 0
+    rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")), F.col(item_text_col)).distinct()
+    for item, text in sorted(rows.toLocalIterator(), key=lambda r: (r[0], r[1] or "")):
+        size = sum(map(len, windows_of([(item, text)], window)))
+        if held and held + size > AUTOMATON_CHARS:
+            passes.append([])
+            held = 0
+        passes[-1].append((item, text))
+        held += size
+    return passes
+
+
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
@@ -103,16 +118,7 @@ def decontaminate(
     characters is scanned in several passes whose hits are united. A scan needs no shuffle.
     """
     spark = docs.sparkSession
-    passes: list[list[tuple[str, str | None]]] = [[]]
-    held = 0
-    rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")), F.col(item_text_col))
-    for item, text in rows.toLocalIterator():  # one bounded pass after another; texts are cut into passes as they come
-        size = sum(map(len, windows_of([(item, text)], window)))
-        if held and held + size > AUTOMATON_CHARS:
-            passes.append([])
-            held = 0
-        passes[-1].append((item, text))
-        held += size
+    passes = _passes(benchmark, window, item_col, item_text_col)
 
     def one(items: list[tuple[str, str | None]]):
         shared = spark.sparkContext.broadcast(items)
@@ -197,3 +203,19 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
     )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text holds no window of any item. Null texts are clean. No shuffle; see ``decontaminate``."""
+    place, out = docs.columns.index(text_col), docs
+    for items in _passes(benchmark, window, item_col, item_text_col):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            automaton = _automaton(shared.value, window)
+            for batch in slices(batches):
+                hits = ([next(automaton.iter(_framed(w)), None) if (w := normal(t)) and len(automaton) else None for t in as_bytes(batch.column(place))])
+                yield batch.filter(pa.array([h is None for h in hits], pa.bool_()))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out
