@@ -55,14 +55,11 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.trim(cut), r"\s+"), lambda w: w != "")
 
 
-_PAIRS = NGram(n=2, inputCol="__w", outputCol="__pairs")
-_TF = HashingTF(inputCol="__grams", outputCol="__features", numFeatures=FEATURES, binary=True)
-
-
 def _featured(df: DataFrame) -> DataFrame:
     """Adds ``__w``, ``__pairs`` and ``__features`` for the column ``paragraph``."""
-    paired = _PAIRS.transform(df.withColumn("__w", words_of(F.col("paragraph"))))
-    return _TF.transform(paired.withColumn("__grams", F.concat("__w", "__pairs"))).drop("__grams")
+    paired = NGram(n=2, inputCol="__w", outputCol="__pairs").transform(df.withColumn("__w", words_of(F.col("paragraph"))))
+    hashed = HashingTF(inputCol="__grams", outputCol="__features", numFeatures=FEATURES, binary=True)
+    return hashed.transform(paired.withColumn("__grams", F.concat("__w", "__pairs"))).drop("__grams")
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -43,7 +43,8 @@ def features(text: Column) -> Column:
     return F.concat(words, starts(4), starts(6), shape)
 
 
-_TF = HashingTF(inputCol="__words", outputCol="__features", numFeatures=FEATURES, binary=True)
+def _hashed() -> HashingTF:
+    return HashingTF(inputCol="__words", outputCol="__features", numFeatures=FEATURES, binary=True)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -60,7 +61,7 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 def evidence(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents with ``llr``: log-odds of bad against good from the text alone, without the base rate."""
-    train = written(_TF.transform(labelled(docs, labels, sample).select(features(F.col("text")).alias("__words"), "label")).select("__features", "label"))
+    train = written(_hashed().transform(labelled(docs, labels, sample).select(features(F.col("text")).alias("__words"), "label")).select("__features", "label"))
     counts = {int(r["label"]): r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}  # three classes
     good, bad = counts.get(0, 0), counts.get(1, 0) + counts.get(2, 0)
     if not good or not bad:
@@ -70,7 +71,7 @@ def evidence(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
         family="multinomial", regParam=0.02, maxIter=40,
     ).fit(train)
     p = F.least(F.greatest(vector_to_array("__p")[0], F.lit(_EPS)), F.lit(1 - _EPS))
-    scored = model.transform(_TF.transform(docs.withColumn("__words", features(F.col("text")))).drop("__words"))
+    scored = model.transform(_hashed().transform(docs.withColumn("__words", features(F.col("text")))).drop("__words"))
     return scored.withColumn("llr", F.log((1 - p) / p) - F.log(F.lit(bad / good))).drop("__features", "__p", "__r", "__k")
 
 
