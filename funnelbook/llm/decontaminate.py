@@ -16,7 +16,8 @@ from .common import WORDS, as_bytes, slices
 
 #: Characters of window patterns in one automaton. Larger benchmarks are scanned in several passes of at most this size.
 AUTOMATON_CHARS = 16_000_000
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A word in the original text, where A-Z are not lower-cased yet.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 _SCHEMA = (
     "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
