@@ -62,15 +62,15 @@ ORACLES = {
     "op1_warc_index": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
         d AS (SELECT page_id, x, strlen(h)::BIGINT AS payload_bytes,
-                     array_to_string(list_transform(range(8), k -> array_to_string(list_transform(range(4), j ->
+                     array_to_string(list_transform(range(8), lambda k: array_to_string(list_transform(range(4), lambda j:
                        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((('0x' || substr(x, 5 * k + 1, 5))::BIGINT) >> (15 - 5 * j)) & 31)::INT, 1)), '')), '') AS payload_digest,
                      min(page_id) OVER (PARTITION BY x) AS f FROM p)
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> f THEN f END AS refers_to FROM d""",
     "op2_exact_top_k": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
-                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * c.e[i]))::BIGINT AS score
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
               FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
         r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
@@ -79,9 +79,9 @@ ORACLES = {
         win AS (SELECT DISTINCT item_id, len(list_slice(w, i, i + 9)) AS n, array_to_string(list_slice(w, i, i + 9), ' ') AS g
                 FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
         d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
-        at AS (SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+        grams AS (SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
                FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win))),
-        found AS (SELECT doc_id, i, win.n, item_id FROM at JOIN win USING (n, g)),
+        found AS (SELECT doc_id, i, win.n, item_id FROM grams JOIN win USING (n, g)),
         hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY doc_id),
         items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
                   FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)

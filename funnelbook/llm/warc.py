@@ -236,5 +236,5 @@ def archive(pages: DataFrame, *, least_bytes: int = 0, id_col: str = "page_id",
 
 
 def digest(index: DataFrame) -> DataFrame:
-    """The columns of the op1 contract, with the place of each record."""
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", F.col("at").alias("captured"), "part", "position", "offset", "length")
+    """The columns of the op1 contract."""
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
