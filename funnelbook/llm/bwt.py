@@ -40,14 +40,17 @@ def merge(orders: list[np.ndarray], transforms: list[np.ndarray], n_strings: lis
     """
     offsets = np.cumsum([0, *map(len, orders)])
     symbols = np.concatenate(transforms)
+    if symbols.max(initial=0) < 256:  # always so for UTF-8, which has no byte 255
+        symbols = symbols.astype(np.uint8)
     kind = np.uint8 if len(orders) <= 256 else np.uint16
     source = np.repeat(np.arange(len(orders)), np.diff(offsets)).astype(kind)
     ends = np.repeat(np.arange(len(orders)), n_strings).astype(kind)
     k, n = len(ends), len(source)
-    interval = np.zeros(n, dtype=np.int64)
+    alone = np.arange(k, dtype=np.int32)
+    interval = np.zeros(n, dtype=np.int32)
     for _ in range(depth):
         row_of = np.argsort(source, kind="stable")
-        before = np.empty(n, dtype=np.uint16)
+        before = np.empty(n, dtype=symbols.dtype)
         before[row_of] = symbols
         sent = np.argsort(before, kind="stable")[k:]  # rows before a terminator lead to its own row, which stays in place
         first, rest = before[sent], interval[sent]
@@ -56,7 +59,7 @@ def merge(orders: list[np.ndarray], transforms: list[np.ndarray], n_strings: lis
         np.not_equal(first[1:], first[:-1], out=parts[1:])
         parts[1:] |= rest[1:] != rest[:-1]
         source = np.concatenate([ends, source[sent]])
-        interval = np.concatenate([np.arange(k), k - 1 + np.cumsum(parts)])
+        interval = np.concatenate([alone, np.int32(k - 1) + np.cumsum(parts, dtype=np.int32)])
     place = np.empty(n, dtype=np.int64)
     place[np.argsort(source, kind="stable")] = np.concatenate([o + at for o, at in zip(orders, offsets)])
     return place, interval

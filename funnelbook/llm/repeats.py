@@ -25,8 +25,8 @@ GRAM = 32
 #: Windows of one piece at most.
 PIECE = 2048
 #: Bytes of pieces whose transforms are merged at once, and of one shard of them.
-BATCH = 1 << 18
-SHARD = 1 << 15
+BATCH = 1 << 16
+SHARD = 1 << 14
 #: An anchor with more different pieces than this is split by window hash.
 PIECES = 1000
 
@@ -245,7 +245,7 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
     total = differ.agg(F.sum("size")).first()[0] or 0  # one number
     cut = written(_cut(differ.where(F.col("kinds") <= PIECES), rows))
     _released(spark)
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * BATCH)))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (16 * BATCH)))
     spans = _sorted_cells(cut, length, n)
     spans = spans.unionByName(_hot_windows(_cut(differ.where(F.col("kinds") > PIECES), rows), length))
     spans = written(spans.unionByName(whole.select("doc", "tie", "start", (F.col("start") + F.col("size")).cast("int").alias("end"))))
