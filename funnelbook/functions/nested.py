@@ -21,8 +21,9 @@ def list_of_longs(c: Column) -> Column:
 
 
 def list_of_strings(c: Column) -> Column:
-    """``['a','b']`` to an array; backslash-escaped quotes are unescaped first."""
-    return F.from_json(F.translate(F.replace(c, F.lit("\\'"), F.lit("'")), "'", '"'), "array<string>")
+    """``['a','b']`` to an array. Either quote may enclose a text, the other may stand inside; enclosing quotes may be escaped."""
+    read = lambda x: F.from_json(x, "array<string>", {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
+    return F.coalesce(read(c), read(F.replace(c, F.lit("\\'"), F.lit("'"))))
 
 
 def first_comment(comments: Column) -> Column:
@@ -61,13 +62,13 @@ def flatten_structs(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*leaves(df.schema, None, ""))
 
 
-def flatten_json(df: DataFrame, roots: Sequence[str], targets: Sequence[str], depth: int = 2) -> DataFrame:
+def flatten_json(df: DataFrame, roots: Sequence[str], targets: Sequence[str]) -> DataFrame:
     """Columns ``<root>_<key>[_<key>..]`` read from JSON text columns, for a given target list.
 
     The key set may differ from row to row; no schema is discovered, each target is looked up.
     A key may itself contain ``_``, so each split of the target is a possible path; the
-    shallowest path that has a value wins. Inner objects may be nested or string-encoded, down
-    to ``depth`` levels. An empty inner object is kept as the text ``{}``.
+    shallowest path that has a value wins. Inner objects may be nested or string-encoded, as deep
+    as the target's name has parts. An empty inner object is kept as the text ``{}``.
 
     Every object is parsed once per row, into the keys that some target can need, and an absent
     one costs a null check. Each level is its own projection, so a parsed object is shared by
@@ -82,11 +83,11 @@ def flatten_json(df: DataFrame, roots: Sequence[str], targets: Sequence[str], de
         if rests:
             level.append((F.col(r), rests))
     out, parsed = df, list[str]()
-    for step in range(depth):
+    while level:
         fresh, following = {}, []
         for text, rests in level:
             inner: dict[str, dict[str, str]] = {}
-            for t, rest in rests.items() if step + 1 < depth else ():
+            for t, rest in rests.items():
                 parts = rest.split("_")
                 for i in range(1, len(parts)):
                     inner.setdefault("_".join(parts[:i]), {})[t] = "_".join(parts[i:])

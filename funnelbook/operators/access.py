@@ -232,7 +232,7 @@ def lookup_access(keys: DataFrame, credentials: DataFrame) -> DataFrame:
     return joined.withColumn("found", F.col("token").isNotNull())
 
 
-def latest(df: DataFrame, key: str, version: str) -> DataFrame:
-    """Current row of each key in an append log. The group limit before the shuffle keeps hot keys harmless."""
-    w = Window.partitionBy(key).orderBy(F.col(version).desc())
+def latest(df: DataFrame, key: str, version: str, *ties: str) -> DataFrame:
+    """Current row of each key in an append log; equal versions are decided by ``ties``, the largest first. The group limit before the shuffle keeps hot keys harmless."""
+    w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in (version, *ties)])
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")

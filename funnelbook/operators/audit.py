@@ -19,7 +19,7 @@ IGNORED_TAG = "admin_bot"
 NEWEST_RUNS = 50
 RECENT_ALERTS = 20
 STALE_DAYS = 30
-ADMIN_BOUND = 10_000
+ADMIN_LIST = 1_000
 
 
 def stale_clients(sources: Mapping[str, tuple[DataFrame, str]], as_of: date, days: int = STALE_DAYS) -> DataFrame:
@@ -68,14 +68,13 @@ def cleanup_entries(entries: DataFrame, sources: Sequence[str], selected: str |
 
 
 def fan_out(runs: DataFrame, admins: DataFrame) -> DataFrame:
-    """One alert per run and admin.
+    """One alert per run and admin, for any number of admins.
 
-    The admin list travels as one small array. No more than one id beyond the bound is ever
-    gathered, and a list that long fails the job instead of being cut.
+    Admins are dealt to lists of about ``ADMIN_LIST`` ids. Each run gets the numbers of all lists and meets them by equality.
     """
-    some = admins.select("admin_id").distinct().limit(ADMIN_BOUND + 1)
-    ids = some.agg(F.array_sort(F.collect_set("admin_id")).alias("a"))
-    bounded = ids.select(
-        F.when(F.size("a") <= ADMIN_BOUND, F.col("a")).otherwise(F.raise_error(F.lit("too many admins")).cast("array<bigint>"))
-    ).scalar()
-    return runs.withColumn("admins", bounded).withColumn("admin_id", F.explode("admins")).drop("admins")
+    ids = admins.select("admin_id").where("admin_id IS NOT NULL").distinct()
+    n = F.greatest(F.ceil(F.count("*") / ADMIN_LIST), F.lit(1)).cast("int")
+    lists = ids.select(n.alias("n")).scalar()
+    dealt = ids.groupBy(F.pmod(F.xxhash64("admin_id"), lists).cast("int").alias("__list")).agg(F.collect_list("admin_id").alias("__ids"))
+    numbered = runs.withColumn("__list", F.explode(F.sequence(F.lit(0), lists - 1)))
+    return numbered.join(dealt, "__list").withColumn("admin_id", F.explode("__ids")).drop("__list", "__ids")

@@ -18,7 +18,8 @@ def _total(df: DataFrame, c: str) -> Column:
     value = int64_or_zero(F.col(c)) if kind == "string" else F.col(c)
     total = F.coalesce(F.sum(value), F.lit(0))
     if kind.startswith("decimal"):
-        return total.cast("decimal(38,2)")
+        scale = kind.partition(",")[2].rstrip(")")
+        return total.cast(f"decimal(38,{scale})")
     return total if kind in ("double", "float") else total.cast("bigint")
 
 

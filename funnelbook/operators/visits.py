@@ -117,7 +117,7 @@ def shape_visits(report: DataFrame, logs: DataFrame, goals: DataFrame, keys: Seq
     return goal_sums(visits, goals, "goalsID", counted=report.select("client"))
 
 
-def dedup_visits(visits: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Newest row per visit. Catalyst limits each group before the shuffle, so a hot key is harmless."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
+def dedup_visits(visits: DataFrame, keys: Sequence[str], order: str, *ties: str) -> DataFrame:
+    """Newest row per visit; equal order values are decided by ``ties``, the largest first. Catalyst limits each group before the shuffle, so a hot key is harmless."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in (order, *ties)])
     return visits.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")

@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 from ..functions.frames import in_window
 from ..functions.text import login_canonical
 
-# Cost tolerance and cost-check exceptions of the two ads profiles.
+# Cost tolerance of the two ads profiles.
 COST_TOLERANCE = {"analytics": 500, "light": 2}
 DEFAULT_TOLERANCE = 5
-SKIP_COST_CLIENTS = {"analytics": ("lovol_russia", "changan_asmoto_ads"), "light": ()}
 
 
 def _sides(source: DataFrame, warehouse: DataFrame, values: Sequence[str]) -> DataFrame:
@@ -64,7 +63,8 @@ def changed_days_ads(
     start: date,
     end: date,
     *,
-    tolerance: float = DEFAULT_TOLERANCE,
+    tolerance: float | None = None,
+    profile: str | None = None,
     skip_cost: Sequence[str] = (),
     compare_conversions: bool = True,
 ) -> DataFrame:
@@ -92,7 +92,7 @@ def changed_days_ads(
     def present(p: str) -> Column:
         return F.col(f"{p}_impressions") + F.col(f"{p}_clicks") + F.col(f"{p}_cost") + F.col(f"{p}_conv") > 0
 
-    cost_differs = F.abs(F.col("s_cost") - F.col("w_cost")) > F.lit(tolerance)
+    cost_differs = F.abs(F.col("s_cost") - F.col("w_cost")) > F.lit(COST_TOLERANCE.get(profile, DEFAULT_TOLERANCE) if tolerance is None else tolerance)
     if skip_cost:
         names = [n.strip().replace("_", "-").replace(".", "-") for n in skip_cost]
         cost_differs = cost_differs & ~login_canonical(F.col("client")).isin(*names)

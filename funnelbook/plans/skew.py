@@ -46,7 +46,7 @@ def skew_join(
     is_hot = F.array_contains(F.coalesce(hot, F.array().cast("array<bigint>")), hashed)
 
     content = [c for c, t in many.dtypes if "map<" not in t and "variant" not in t]
-    deal = F.pmod(F.xxhash64(*content) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    deal = F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(salts)).cast("int")
     spread = many.withColumn("__salt", F.when(is_hot, deal).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copied = one.withColumn("__salts", copies).withColumn("__salt", F.explode_outer("__salts")).drop("__salts")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -17,10 +18,14 @@ def _own_dir(application: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the one named in ``spark.checkpoint.dir``.
 
-    Only where the session does not name one (tests, a laptop) a temporary folder is made, once
-    per application, so that a cluster never writes to a machine-local path.
+    Only a local master (tests, a laptop) may leave it unset: a temporary folder is then made, once per
+    application. On a cluster a machine-local folder would lose rows, so a missing setting is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_dir(spark.sparkContext.applicationId)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = _own_dir(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
 
 

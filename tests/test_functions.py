@@ -118,9 +118,9 @@ def test_tags_and_comments(spark):
     assert apply(spark, [[("x",), ("y",)], [(None,)], [], None], nested.first_comment, nested.COMMENTS_TYPE) == ["x", "", "", ""]
 
 
-def flat(spark, values, targets, depth=2):
+def flat(spark, values, targets):
     df = spark.createDataFrame([(v,) for v in values], "base string")
-    return [tuple(r) for r in nested.flatten_json(df, ["base"], targets, depth).collect()]
+    return [tuple(r) for r in nested.flatten_json(df, ["base"], targets).collect()]
 
 
 def test_flatten_json(spark):
@@ -133,8 +133,8 @@ def test_flatten_json(spark):
 def test_flatten_json_levels_and_repeated_paths(spark):
     deep = '{"a":{"b":{"c":"deep"}},"a_b":{"c":"first"}}'
     assert flat(spark, [deep], ["base_a_b_c"]) == [("first",)]
-    assert flat(spark, ['{"a":{"b":{"c":"deep"}}}'], ["base_a_b_c"]) == [(None,)]
-    assert flat(spark, ['{"a":{"b":{"c":"deep"}}}'], ["base_a_b_c"], depth=3) == [("deep",)]
+    assert flat(spark, ['{"a":{"b":{"c":"deep"}}}'], ["base_a_b_c"]) == [("deep",)]
+    assert flat(spark, [r'{"a":{"b":{"c":"{\"d\":1}"}}}'], ["base_a_b_c_d"]) == [("1",)]
     assert flat(spark, ['{"a":{"b_c":"one"},"a_b":{"c":"two"}}'], ["base_a_b_c"]) == [("one",)]
 
 
@@ -157,3 +157,8 @@ def test_frames(spark):
     assert frames.select_prefix(df, "conv", ignore_case=True) == ["Conversions_1"] and frames.select_prefix(df, "conv") == []
     assert frames.metric_columns(df, ["A"], ["conversions_"]) == ["a", "Conversions_1"]
     assert frames.cast_present(df, {"a": "bigint", "zz": "bigint"}).dtypes[0] == ("a", "bigint")
+
+
+def test_lists_with_either_quote_inside(spark):
+    df = spark.createDataFrame([("""['a"b','c']""",), ("""["it's"]""",), (r"""['it\'s']""",)], "v string")
+    assert [r[0] for r in df.select(nested.list_of_strings(F.col("v"))).collect()] == [['a"b', "c"], ["it's"], ["it's"]]
