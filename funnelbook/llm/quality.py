@@ -27,20 +27,25 @@ def _bucket(name: str, share: Column) -> Column:
     return F.concat(F.lit(name), F.least(F.floor(20 * share), F.lit(20)).cast("string"))
 
 
-def features(text: Column) -> Column:
-    """Words, their beginnings, and bucketed shares of capitals, signs and repeated words, as an array of strings."""
-    text = F.coalesce(text.cast("string"), F.lit(""))
-    words = F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
+def with_features(df: DataFrame) -> DataFrame:
+    """Adds ``__words``: distinct words, their beginnings, and bucketed shares of capitals, signs and repeated words of ``text``.
+
+    Only presence counts, so a word is taken once. Words are made in steps of their own, which are not merged, so each text is
+    split once.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    split = df.withColumn("__all", F.array_remove(F.split(F.lower(text), r"\s+"), "")).withColumn("__once", F.array_distinct("__all"))
+    n, once = F.size("__all"), F.col("__once")
     chars = F.greatest(F.length(text), F.lit(1))
     taken = lambda pattern: (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))) / chars
     shape = F.array(
         _bucket("capitals ", taken(r"\p{Lu}+")),
         _bucket("signs ", taken(r"[!-/:-@\[-`{-~]+")),
-        _bucket("repeats ", 1 - F.size(F.array_distinct(words)) / F.greatest(F.size(words), F.lit(1))),
-        F.concat(F.lit("size "), F.floor(F.log2(1.0 + F.size(words))).cast("string")),
+        _bucket("repeats ", 1 - F.size(once) / F.greatest(n, F.lit(1))),
+        F.concat(F.lit("size "), F.floor(F.log2(1.0 + n)).cast("string")),
     )
-    starts = lambda n: F.transform(F.filter(words, lambda w: F.length(w) > n), lambda w: F.concat(F.lit("^"), F.substring(w, 1, n)))
-    return F.concat(words, starts(4), starts(6), shape)
+    starts = lambda k: F.transform(F.filter(once, lambda w: F.length(w) > k), lambda w: F.concat(F.lit("^"), F.substring(w, 1, k)))
+    return split.withColumn("__words", F.concat(once, starts(4), starts(6), shape)).drop("__all", "__once")
 
 
 def _hashed() -> HashingTF:
@@ -61,7 +66,7 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 def evidence(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents with ``llr``: log-odds of bad against good from the text alone, without the base rate."""
-    train = written(_hashed().transform(labelled(docs, labels, sample).select(features(F.col("text")).alias("__words"), "label")).select("__features", "label"))
+    train = written(_hashed().transform(with_features(labelled(docs, labels, sample))).select("__features", "label"))
     counts = {int(r["label"]): r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}  # three classes
     good, bad = counts.get(0, 0), counts.get(1, 0) + counts.get(2, 0)
     if not good or not bad:
@@ -71,7 +76,7 @@ def evidence(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
         family="multinomial", regParam=0.02, maxIter=40,
     ).fit(train)
     p = F.least(F.greatest(vector_to_array("__p")[0], F.lit(_EPS)), F.lit(1 - _EPS))
-    scored = model.transform(_hashed().transform(docs.withColumn("__words", features(F.col("text")))).drop("__words"))
+    scored = model.transform(_hashed().transform(with_features(docs)).drop("__words"))
     return scored.withColumn("llr", F.log((1 - p) / p) - F.log(F.lit(bad / good))).drop("__features", "__p", "__r", "__k")
 
 
