@@ -2,7 +2,7 @@
 
 Every window of ``length`` bytes has an anchor, the smallest hash of its grams of ``GRAM`` bytes, so equal windows have equal
 anchors. The windows of a text that share an anchor one after another form a piece of some 130 bytes. Pieces whose anchor occurs once, in
-all texts and in the piece, hold no repeat and never move. Equal pieces are settled by one aggregate: all but the first are repeats whole. What is left,
+all texts and in the piece, hold no repeat and never move. Equal pieces, by anchor, size and a hash of all bytes, are settled by one aggregate: all but the first are repeats whole. What is left,
 pieces with a common anchor but different bytes, goes to suffix sorting: Burrows-Wheeler transforms of shards of pieces are
 merged by interleave refinement, and the repeated intervals of the merged order are the windows that occur again.
 """
@@ -83,7 +83,8 @@ def pieces_of(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...
     count = np.minimum(PIECE, np.repeat(count, parts) - PIECE * again)
     starts = np.repeat(starts, parts) + PIECE * again
     size = count + length - 1
-    digest, at, last = np.full(len(starts), _C, dtype=np.uint64), starts.copy(), starts + size - GRAM
+    # the grams below leave no byte out, but only with the size do they fix the bytes
+    digest, at, last = _mixed(size.astype(np.uint64) * np.uint64(_A) + np.uint64(_C)), starts.copy(), starts + size - GRAM
     live = np.arange(len(starts))
     while len(live):
         digest[live] = _mixed(digest[live] * np.uint64(_A) + grams[np.minimum(at[live], last[live])])
@@ -237,11 +238,11 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
     again = written(found.join(often, "anchor"))
     _released(spark)
     place = F.struct("doc", "tie", "start")
-    firsts = written(again.groupBy("anchor", "digest").agg(F.min(F.struct("doc", "tie", "start", "size")).alias("first"), F.max("twice").alias("twice")))
+    firsts = written(again.groupBy("anchor", "size", "digest").agg(F.min(place).alias("first"), F.max("twice").alias("twice")))
     _released(spark)
-    whole = again.join(firsts, ["anchor", "digest"]).where(~place.eqNullSafe(F.struct("first.doc", "first.tie", "first.start")))
+    whole = again.join(firsts, ["anchor", "size", "digest"]).where(~place.eqNullSafe(F.struct("first.doc", "first.tie", "first.start")))
     kinds = written(firsts.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max("twice").alias("t")).where("kinds > 1 OR t").drop("t"))
-    differ = written(firsts.join(kinds, "anchor").select("anchor", "kinds", "first.*"))
+    differ = written(firsts.join(kinds, "anchor").select("anchor", "kinds", "first.*", "size"))
     total = differ.agg(F.sum("size")).first()[0] or 0  # one number
     cut = written(_cut(differ.where(F.col("kinds") <= PIECES), rows))
     _released(spark)
