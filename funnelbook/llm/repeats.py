@@ -179,6 +179,8 @@ def _sorted_cells(pieces: DataFrame, length: int, n: int) -> DataFrame:
         held, last = 0, None
         for batch in slices(batches):
             for anchor, doc, tie, start, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if anchor == last and keys[-1] == (doc, tie, start):  # the same piece of a repeated row: one text, one piece
+                    continue
                 if held > BATCH and anchor != last:  # rows come by anchor; an anchor stays together
                     yield settle(keys, cut)
                     keys, cut, held = [], [], 0

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from test_text_operators import brute_repeats, docs_of
 
 from funnelbook.llm import repeats
@@ -21,3 +22,17 @@ def test_pieces_of_different_size_are_different(spark):
     rows = list(enumerate(pairs))
     got = {r["doc_id"]: tuple(r)[1:] for r in repeats.measure(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute_repeats(rows)
+
+
+def test_repeated_rows_are_one_text(spark):
+    rng = random.Random(8)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(130))
+    texts = ["q w e r t y u i o p " * 30, line, line + "x" + line, "ab" * 300, "y" + line]
+    want = brute_repeats(list(enumerate(texts)))
+    assert want[0][:2] == (600, 580)
+    for pieces in (repeats.PIECES, 1):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(repeats, "PIECES", pieces)
+            got = repeats.measure(docs_of(spark, texts).unionByName(docs_of(spark, texts)).unionByName(docs_of(spark, texts[:1]))).collect()
+        assert len(got) == 11
+        assert all(tuple(r)[1:] == want[r["doc_id"]] for r in got)
