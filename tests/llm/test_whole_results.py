@@ -5,6 +5,7 @@ import random
 import pytest
 from test_text_operators import brute_repeats, docs_of
 
+import corpus_pipeline
 from funnelbook.llm import repeats
 
 
@@ -36,3 +37,49 @@ def test_repeated_rows_are_one_text(spark):
             got = repeats.measure(docs_of(spark, texts).unionByName(docs_of(spark, texts)).unionByName(docs_of(spark, texts[:1]))).collect()
         assert len(got) == 11
         assert all(tuple(r)[1:] == want[r["doc_id"]] for r in got)
+
+
+def sets_of(text, n=5):
+    w = (text or "").lower().split()
+    return {tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def test_near_copies_of_five_word_similarity(spark, sf):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    texts = []
+    for group in range(12):
+        base = [word() for _ in range(300)]
+        for _ in range(12):  # 1-9 words replaced: similarities from 0.6 to 1 among copies
+            copy = list(base)
+            for k in rng.sample(range(300), rng.randint(1, 9)):
+                copy[k] = word()
+            texts.append(" ".join(copy))
+    # fingerprints (which count repeats) agree, sets do not
+    texts += [" ".join(["a b c d"] * 400 + [word() for _ in range(50)]) for _ in range(6)]
+    texts += [None, "", "one", "ONE", "one two", "one  two", "one two three"]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = [sets_of(t) for t in texts]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) >= 0.8 * len(a | b):
+                p, q = sorted((find(i), find(j)))
+                parent[q] = p
+    got = sorted(r["doc_id"] for r in corpus_pipeline.keep_first(spark, docs_of(spark, texts), sf).collect())
+    assert got == sorted({find(k) for k in range(len(texts))})
+
+
+def rows_of_docs(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "src0", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_near_copies_are_dropped_by_row(spark, sf):
+    rows = [(5, "a b c d e f"), (5, "a b c d e f"), (5, "quite another text of id five"), (None, "a b c d e f"), (None, "g h i j k l"), (None, "g h i j k l"), (None, "m n o p q r"), (7, "M N o p q r")]
+    got = [(r["doc_id"], r["text"].lower()) for r in corpus_pipeline.keep_first(spark, rows_of_docs(spark, rows), sf).collect()]
+    assert sorted(got, key=str) == sorted([(5, "a b c d e f"), (5, "quite another text of id five"), (None, "g h i j k l"), (7, "m n o p q r")], key=str)
