@@ -108,9 +108,10 @@ def site_rates(scored: DataFrame) -> DataFrame:
 
 
 def judge(
-    docs: DataFrame, labels: DataFrame, *, host: str = "source", path: str = "lang", sample: int = SAMPLE, reject: float = REJECT
+    docs: DataFrame, labels: DataFrame, *, host: str = "source", path: str = "lang", sample: int = SAMPLE, reject: float = REJECT,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``doc_id``, ``host``, ``path``, ``llr``, ``prior``, ``p_bad`` and ``rejected`` of every row.
+    """``doc_id``, ``host``, ``path``, ``llr``, ``prior``, ``p_bad`` and ``rejected`` of every row, with its columns ``keep``.
 
     ``docs`` has doc_id, text and the columns named as ``host`` and ``path`` (whatever groups texts below a host: a
     directory, a section, a language). Null and empty texts are judged by their shape and site like any other; null hosts and
@@ -120,9 +121,9 @@ def judge(
     Scores are written once to the shared folder; sites are summed in each task before the shuffle, so a host with a third
     of all rows costs one row a task. Only the fit sees a sample, of at most ``sample`` labelled rows; sums cover all rows.
     """
-    kept = docs.select("doc_id", "text", F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"))
-    scored = written(evidence(kept, labels, sample).select("doc_id", "host", "path", "llr"))
-    rates = site_rates(scored).withColumnsRenamed({"host": "__h", "path": "__p"})
+    kept = docs.select("doc_id", "text", F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), *(c for c in keep if c != "text"))
+    scored = written(evidence(kept, labels, sample).select("doc_id", "host", "path", "llr", *keep))
+    rates = site_rates(scored.select("host", "path", "llr")).withColumnsRenamed({"host": "__h", "path": "__p"})
     both = scored.join(rates, F.expr("host <=> __h AND path <=> __p"), "left")
     odds = F.col("llr") + F.log(F.col("prior") / (1 - F.col("prior")))
-    return both.select("doc_id", "host", "path", "llr", "prior", (1 / (1 + F.exp(-odds))).alias("p_bad")).withColumn("rejected", F.col("p_bad") > reject)
+    return both.select("doc_id", "host", "path", "llr", "prior", *keep, (1 / (1 + F.exp(-odds))).alias("p_bad")).withColumn("rejected", F.col("p_bad") > reject)

@@ -6,7 +6,7 @@ import pytest
 from test_text_operators import brute_repeats, docs_of
 
 import corpus_pipeline
-from funnelbook.llm import repeats
+from funnelbook.llm import quality, repeats
 
 
 def test_pieces_of_different_size_are_different(spark):
@@ -83,3 +83,11 @@ def test_near_copies_are_dropped_by_row(spark, sf):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (5, "quite another text of id five"), (None, "a b c d e f"), (None, "g h i j k l"), (None, "g h i j k l"), (None, "m n o p q r"), (7, "M N o p q r")]
     got = [(r["doc_id"], r["text"].lower()) for r in corpus_pipeline.keep_first(spark, rows_of_docs(spark, rows), sf).collect()]
     assert sorted(got, key=str) == sorted([(5, "a b c d e f"), (5, "quite another text of id five"), (None, "g h i j k l"), (7, "m n o p q r")], key=str)
+
+
+def test_quality_rejects_rows_not_ids(spark, sf, monkeypatch):
+    evidence = lambda docs, labels, sample: docs.selectExpr("*", "IF(text LIKE 'bad%', 50D, -50D) AS llr")
+    monkeypatch.setattr(quality, "evidence", evidence)
+    rows = [(None, "bad text"), (None, "good text"), (None, "good other"), (3, "bad"), (3, "good"), (4, "good"), (4, "good")]
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.keep_good(spark, rows_of_docs(spark, rows), sf).collect()]
+    assert sorted(got, key=str) == sorted([r for r in rows if not r[1].startswith("bad")], key=str)
