@@ -1,8 +1,10 @@
 """URL filters: listed rules first, and for all other hosts trust and distrust spread over the link graph.
 
 Trust is personalised PageRank that starts at hosts whose rule allows them and follows links. Distrust starts at hosts whose rule
-blocks them and follows links backwards: who links to a blocked host shares its blame. A host is blocked if its
-distrust reaches a threshold and exceeds its trust. All of it is DataFrame code.
+blocks them and follows links backwards: who links to a blocked host shares its blame. Scores sum to 1, so distrust is turned into
+blocked pages (times their number) before it is held against a threshold: a host is blocked if its blame for each page of its
+own reaches the threshold, which does not depend on how large the rest of the table is, and if its share of all distrust
+exceeds its share of all trust. All of it is DataFrame code.
 """
 
 from __future__ import annotations
@@ -101,16 +103,19 @@ def judge_hosts(
 ) -> DataFrame:
     """``host``, ``trust``, ``distrust``, ``verdict`` of every host in a seed or a link.
 
-    Seeds are the hosts of pages that a rule allows or blocks, weighted by the number of such pages.
+    Seeds are the hosts of pages that a rule allows or blocks, weighted by the number of such pages. ``threshold`` is the blame, in
+    blocked pages, for each page of the host.
     """
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
-    seeds = (
+    ruled = lambda verdict: F.count(F.when(F.col("verdict") == verdict, 1)).cast("double")
+    sizes = written(
         pages.select(host.alias("host"), rule_of(host, path, rules)["verdict"].alias("verdict"))
-        .where("verdict IS NOT NULL AND host <> ''")
-        .select(F.when(F.col("verdict") == "allow", "trust").otherwise("distrust").alias("kind"), "host")
-        .groupBy("kind", "host")
-        .agg(F.count("*").cast("double").alias("weight"))
+        .where("host <> ''")
+        .groupBy("host")
+        .agg(F.count("*").alias("pages"), ruled("allow").alias("trust"), ruled("block").alias("distrust"))
     )
+    seeds = sizes.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust) AS (kind, weight)")).where("weight > 0")
+    blocked = sizes.agg(F.sum("distrust")).first()[0] or 0.0  # one number
     edges = written(host_edges(pages, url_col=url_col, html_col=html_col))
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
@@ -118,8 +123,10 @@ def judge_hosts(
     score = propagate(both, seeds)
     part = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0))
     sums = score.groupBy("host").agg(part("trust").alias("trust"), part("distrust").alias("distrust"))
-    bad = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
-    return sums.withColumn("verdict", F.when(bad, "block").otherwise("allow"))
+    blame = F.col("distrust") * blocked / F.coalesce("pages", F.lit(1))
+    bad = (blame >= threshold) & (F.col("distrust") > F.col("trust"))
+    sums = sums.join(sizes.select("host", "pages"), "host", "left")
+    return sums.select("host", "trust", "distrust", F.when(bad, "block").otherwise("allow").alias("verdict"))
 
 
 def filter_urls(

@@ -6,7 +6,7 @@ import pytest
 from test_text_operators import brute_repeats, docs_of
 
 import corpus_pipeline
-from funnelbook.llm import quality, repeats
+from funnelbook.llm import quality, repeats, url_filter
 
 
 def test_pieces_of_different_size_are_different(spark):
@@ -91,3 +91,17 @@ def test_quality_rejects_rows_not_ids(spark, sf, monkeypatch):
     rows = [(None, "bad text"), (None, "good text"), (None, "good other"), (3, "bad"), (3, "good"), (4, "good"), (4, "good")]
     got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.keep_good(spark, rows_of_docs(spark, rows), sf).collect()]
     assert sorted(got, key=str) == sorted([r for r in rows if not r[1].startswith("bad")], key=str)
+
+
+def test_url_verdicts_do_not_depend_on_the_size_of_the_table(spark):
+    link = lambda h: f'<a href="https://{h}/p">'
+    web = [("http://b.net/", ""), ("http://spam.com/", link("b.net")), ("http://far.com/", link("spam.com")), ("http://a.example.net/en/", link("good.com")), ("http://good.com/", "")]
+    want = {"b.net": "block", "spam.com": "block", "far.com": "block", "a.example.net": "allow", "good.com": "allow"}
+    # the same web beside copies of itself and 40,000 listed pages of other hosts
+    frame = lambda rows: spark.createDataFrame([(u.split("/")[2], u, h) for u, h in rows], "page_id string, url string, html string")
+    copies = [(u.replace("://", f"://w{k}."), h.replace("https://", f"https://w{k}.")) for k in range(3) for u, h in web]
+    url = "concat('http://x', id, IF(id % 2 = 0, '.net/', '.org/fr/')) AS url"
+    other = spark.range(0, 40_000, 1, 2).selectExpr("CAST(NULL AS STRING) AS page_id", url, "'' AS html")
+    pages = frame(web + copies).unionByName(other)
+    got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(pages).where("page_id IS NOT NULL").collect()}
+    assert got == {h: want[h.partition(".")[2] if h[0] == "w" else h] for h in got} and got.keys() >= want.keys()
