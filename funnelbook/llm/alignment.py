@@ -17,9 +17,11 @@ import os
 import re
 from collections.abc import Iterator
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,91 +31,88 @@ from tokenizers import Tokenizer
 
 from .common import slices, written
 
-#: Ends of a piece, and of a chunk: the pieces whose links are looked up together.
+#: Ends of a piece, of a chunk (the pieces whose links are looked up together), and of what a task merges at once.
 PIECE = 1 << 16
 CHUNK = 1 << 21
-#: Strings that a task remembers at most; beyond it forgets all and goes on. Longer ones are never remembered.
-REMEMBERED = 200_000
-LONG = 64
+LOT = 1 << 18
 
 SPACE = "▁"
-#: A space between two other characters. Neither tokenizer has a token across its left border.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+# Fixed value: the pattern by which a byte-level tokenizer cuts words.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Other characters may be letters in one edition of Unicode and none in another: texts with them are left to A's own library.
+_OLD = "\x00-\u024f\u0370-\u0373\u0386-\u03ce\u0400-\u0481\u2000-\u206f\u20a0-\u20b5\u3041-\u3096\u30a1-\u30fe\u3000-\u3020\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e"
+_RARE = re.compile(f"[^{_OLD}]")
 
 
 class Tokenizers:
     """Ids of both tokenizers for whole texts, and the bytes of each id.
 
-    A text is cut before single spaces. There the pre-tokenizer of A (words with the space before them) ends a word, and no
-    piece of B has a space but at its start, so the ids of the parts join to those of the text. Each part is encoded once by
-    the libraries and remembered.
+    A's vocabulary is merged by rank, which is several times faster than its own library. It is proven first that this gives the same: ids
+    come in the order of the merges, and every vocabulary string alone is merged to itself. A pair of tokens that stand side by
+    side and make a third one then is the pair of that one's merge, since the merges inside a stretch of text that none has crossed are those of the stretch
+    alone.
     """
 
     def __init__(self, spec: str, model: bytes):
-        self.a = Tokenizer.from_str(spec)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True  # their strings in a text are plain text
-        self.b = SentencePieceProcessor(model_proto=model)
         form = json.loads(spec)
-        pre = form["pre_tokenizer"] or {}
+        pre, merging = form["pre_tokenizer"] or {}, form["model"]
         if form["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
             raise ValueError("A must be a byte-level tokenizer that cuts words and adds no space")
-        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        if self.b.normalize(" a  b ") != f"{SPACE}{SPACE}a{SPACE}{SPACE}b{SPACE}" or any(SPACE in p.lstrip(SPACE) for p in pieces):
-            raise ValueError("B must add a space, change nothing else, and have spaces only where pieces begin")
+        self.own = Tokenizer.from_str(spec)
+        self.own.no_truncation()
+        self.own.no_padding()
+        self.own.encode_special_tokens = True  # their strings in a text are plain text
+        vocabulary, pairs = merging["vocab"], [m.split(" ") if isinstance(m, str) else m for m in merging["merges"]]
+        made = [vocabulary[a + b] for a, b in pairs]
+        alone = all([t.id for t in self.own.model.tokenize(w)] == [i] for w, i in vocabulary.items())
+        self.by_rank = None
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(sorted({*range(256)} - {*printable}))}
-        vocabulary = self.a.get_vocab(with_added_tokens=True)
-        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.bytes_a[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+        raw = {w: bytes(byte[c] for c in w) for w in vocabulary if all(c in byte for c in w)}
+        special = {t["content"] for t in form["added_tokens"]}
+        if alone and all(x < y for x, y in zip(made, made[1:])) and all(c in vocabulary for c in byte):
+            ranks = {raw[w]: i for w, i in vocabulary.items() if w in raw and w not in special}
+            self.by_rank = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        every = self.own.get_vocab(with_added_tokens=True)
+        self.bytes_a = [b""] * (max(every.values()) + 1)
+        for token, i in every.items():
+            self.bytes_a[i] = raw.get(token, token.encode())
+        self.b = SentencePieceProcessor(model_proto=model)
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self.length_a = np.array([*map(len, self.bytes_a)], dtype=np.int64)
-        self.length_b = np.array([*map(len, self.bytes_b)], dtype=np.int64)
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
-
-    def _learn(self, parts: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
-        """Ids of both for the texts with these parts after a space, and whether both give the bytes back."""
-        made = {}
-        for at in range(0, len(parts), 4096):
-            some = parts[at : at + 4096]
-            codes = self.a.encode_batch_fast([f" {p}" for p in some], add_special_tokens=False)
-            for part, a, b in zip(some, codes, self.b.encode(some, num_threads=1)):
-                raw = f" {part}".encode()
-                same = b"".join(map(self.bytes_a.__getitem__, a.ids)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
-                made[part] = np.array(a.ids, dtype=np.int32).tobytes(), np.array(b, dtype=np.int32).tobytes(), same
-        return made
-
-    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of space and text by A, of the text by B; both empty where a text is, or where the bytes of either differ."""
-        cut = [_CUT.split(t) if t else [] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        new = sorted({p for parts in cut for p in parts}.difference(known))
-        known.update(self._learn(new))
-        made = []
-        for text, parts in zip(texts, cut):
-            rows = [known[p] for p in parts]
-            a, b = (np.frombuffer(b"".join([r[k] for r in rows]), dtype=np.int32) for k in (0, 1))
-            # parts that differ may make up for each other, so only the whole text decides
-            if not all(r[2] for r in rows) and not self._same(text, a, b):
-                a = b = a[:0]
-            made.append((a, b))
-        for part in new:
-            if len(part) > LONG:
-                del known[part]
-        return made
 
-    def _same(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of space and text by A, of the text by B; both empty where the text is, or where the bytes of either differ."""
+        if not text:
+            return _NOTHING, _NOTHING
+        if self.by_rank is None or _RARE.search(text):
+            a = self.own.encode(f" {text}", add_special_tokens=False).ids
+        else:
+            a = self.by_rank.encode_ordinary(f" {text}")
+        b = self.b.encode(text)
         raw = f" {text}".encode()
-        return raw == b"".join(map(self.bytes_a.__getitem__, a.tolist())) == b"".join(map(self.bytes_b.__getitem__, b.tolist()))
+        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+            return _NOTHING, _NOTHING
+        return np.array(a, dtype=np.int32), np.array(b, dtype=np.int32)
+
+    @property
+    def sizes(self) -> Sizes:
+        return Sizes(*(np.array([*map(len, x)], dtype=np.int64) for x in (self.bytes_a, self.bytes_b)))
+
+
+_NOTHING = np.zeros(0, dtype=np.int32)
+
+
+class Sizes(NamedTuple):
+    """Bytes of each id of A and of B."""
+
+    a: np.ndarray
+    b: np.ndarray
 
 
 @cache
 def _tokenizers(spec: str, model: bytes) -> Tokenizers:
-    """One for each worker process; what it has learnt serves the next task too."""
+    """One for each worker process."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given this task one core
     return Tokenizers(spec, model)
 
@@ -155,14 +154,16 @@ def pieces(docs: DataFrame, spec: str, model: bytes, *, work: int = PIECE, chunk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = _tokenizers(*shared.value)
+        sizes = both.sizes
         lot = row = TaskContext.get().partitionId() << 32
         held = 0
         for batch in slices(batches, 256):
             out: list[list] = [[] for _ in names]
-            for place, (a, b) in enumerate(both.encode(batch.column(1).to_pylist())):
+            for place, text in enumerate(batch.column(1)):
+                a, b = both.encode(text.as_py())
                 total = len(a) + len(b)
                 if total > work:
-                    ends = np.cumsum(both.length_a[a]), np.cumsum(both.length_b[b])
+                    ends = np.cumsum(sizes.a[a]), np.cumsum(sizes.b[b])
                     cuts = cut_pieces(*ends, work)
                 else:
                     ends, cuts = (), [(0, len(a), 0, len(b))]
@@ -184,11 +185,11 @@ def pieces(docs: DataFrame, spec: str, model: bytes, *, work: int = PIECE, chunk
 class Merged:
     """Links and group ends of many pieces at once. Each piece's bytes are moved behind those of the piece before it."""
 
-    def __init__(self, both: Tokenizers, from_a: np.ndarray, from_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, a: list[bytes], b: list[bytes]):
+    def __init__(self, length: Sizes, from_a: np.ndarray, from_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, a: list[bytes], b: list[bytes]):
         count = len(a)
         self.a, self.b = (np.frombuffer(b"".join(x), dtype=np.int32) for x in (a, b))
         sizes = [np.array([len(x) // 4 for x in side], dtype=np.int64) for side in (a, b)]
-        sums = [np.concatenate([[0], np.cumsum(length[ids])]) for length, ids in ((both.length_a, self.a), (both.length_b, self.b))]
+        sums = [np.concatenate([[0], np.cumsum(n[ids])]) for n, ids in zip(length, (self.a, self.b))]
         bounds = [np.concatenate([[0], np.cumsum(s)]) for s in sizes]
         spans = np.maximum(*(start + total[at[1:]] - total[at[:-1]] for start, total, at in zip((from_a, from_b), sums, bounds))) + 1
         base = np.cumsum(spans) - spans
@@ -221,10 +222,9 @@ class Merged:
 class _Names:
     """Decimal ids with the sign that follows them: between tokens, between sides, between groups."""
 
-    def __init__(self, both: Tokenizers):
-        self.a = [f"{i}{sign}" for i in range(len(both.bytes_a)) for sign in (",", "|")]
-        self.b = [f"{i}{sign}" for i in range(len(both.bytes_b)) for sign in (",", ";")]
-        self.all, self.first_b = [*self.a, *self.b], len(self.a)
+    def __init__(self, n_a: int, n_b: int):
+        self.first_b = 2 * n_a
+        self.all = [f"{i}{sign}" for n, signs in ((n_a, ",|"), (n_b, ",;")) for i in range(n) for sign in signs]
 
     def whole(self, m: Merged, count: int) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` of each piece that is a whole text, so that every group has tokens of both sides."""
@@ -269,23 +269,48 @@ def _stitched(parts: Iterator[str]) -> Iterator[str]:
             open_a, open_b = ([t] if t else [] for t in rest[-1].split("|"))
 
 
-def _merged(both: Tokenizers, table: pa.RecordBatch | pa.Table) -> Merged:
-    numbers = (table.column(c).to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch) else table.column(c).to_numpy() for c in ("from_a", "from_b", "n_a", "n_b"))
-    return Merged(both, *numbers, table.column("a").to_pylist(), table.column("b").to_pylist())
+def _lots(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of neighbouring pieces with some ``most`` ends."""
+    work = 16 + batch.column("n_a").to_numpy().astype(np.int64) + batch.column("n_b").to_numpy()
+    lot = (np.cumsum(work) - 1) // most
+    starts = np.flatnonzero(np.append(True, lot[1:] != lot[:-1])).tolist() if len(lot) else []
+    for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(a, b - a)
 
 
-def links(cut: DataFrame, spec: str, model: bytes) -> DataFrame:
+def _merged(length: Sizes, batch: pa.RecordBatch) -> Merged:
+    numbers = (batch.column(c).to_numpy() for c in ("from_a", "from_b", "n_a", "n_b"))
+    return Merged(length, *numbers, batch.column("a").to_pylist(), batch.column("b").to_pylist())
+
+
+def links(cut: DataFrame, length: Sizes) -> DataFrame:
     """``chunk``, ``pair`` (id of A times 2^32 plus id of B) and ``n``, its links in some pieces of the chunk. No shuffle."""
-    shared = cut.sparkSession.sparkContext.broadcast((spec, model))
+    shared = cut.sparkSession.sparkContext.broadcast(length)
+    names = ["chunk", "pair", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = _tokenizers(*shared.value)
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def summed() -> Iterator[pa.RecordBatch]:
+            for chunk, parts in held.items():
+                pair, place = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
+                n = np.zeros(len(pair), dtype=np.int64)
+                np.add.at(n, place, np.concatenate([c for _, c in parts]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), chunk)), pa.array(pair), pa.array(n)], names=names)
+            held.clear()
+
+        waiting = 0
         for batch in batches:
-            m = _merged(both, batch)
-            lot = batch.column("chunk").to_numpy()
-            for k in np.unique(lot).tolist():
-                pair, n = np.unique(m.pair[lot[m.piece] == k], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), k)), pa.array(pair), pa.array(n)], names=["chunk", "pair", "n"])
+            for lot in _lots(batch, LOT):
+                m = _merged(shared.value, lot)
+                chunk = lot.column("chunk").to_numpy()
+                for k in np.unique(chunk).tolist():
+                    held.setdefault(k, []).append(np.unique(m.pair[chunk[m.piece] == k], return_counts=True))
+                    waiting += len(held[k][-1][0])
+                if len(held) > 1 or waiting > 8 * LOT:  # a chunk's pieces lie one after another
+                    yield from summed()
+                    waiting = 0
+        yield from summed()
 
     return cut.select("chunk", "from_a", "from_b", "n_a", "n_b", "a", "b").mapInArrow(run, "chunk long, pair long, n long")
 
@@ -293,42 +318,46 @@ def links(cut: DataFrame, spec: str, model: bytes) -> DataFrame:
 _SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
-def _measured(cut: DataFrame, known: DataFrame, spec: str, model: bytes, id_col: str, keep: bool) -> DataFrame:
+def _measured(cut: DataFrame, known: DataFrame, length: Sizes, id_col: str, keep: bool) -> DataFrame:
     """Each piece with its numbers; ``groups`` of pieces of longer texts, digest of texts of one piece."""
-    shared = cut.sparkSession.sparkContext.broadcast((spec, model))
+    shared = cut.sparkSession.sparkContext.broadcast(length)
     kind = dict(cut.dtypes)[id_col]
+    schema = f"row long, `{id_col}` {kind}, piece int, pieces int, {', '.join(f'{c} long' for c in _SUMS)}, groups string, groups_sha256 string"
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        both = _tokenizers(*shared.value)
-        names = _names(*shared.value)
-        m, count = _merged(both, left), left.num_rows
+        names = _names(len(shared.value.a), len(shared.value.b))
         pair, total, best = (right.column(c).to_numpy() for c in ("pair", "total", "best"))
         order = np.argsort(pair, kind="stable")
-        place = order[np.searchsorted(pair, m.pair, sorter=order)] if len(pair) else np.zeros(0, dtype=np.int64)
-        sums = np.zeros(count, dtype=np.int64)
-        np.add.at(sums, m.piece, total[place])
-        whole = names.whole(m, count)
-        one = left.column("pieces").to_numpy() == 1
-        groups = [w if single else names.part(m, k) for k, (w, single) in enumerate(zip(whole, one.tolist()))]
-        code = [(hashlib.sha256(g.encode()).hexdigest() if g else "") if single else None for g, single in zip(groups, one.tolist())]
-        return pa.table(
-            {
-                "row": left.column("row"), id_col: left.column(id_col), "piece": left.column("piece"), "pieces": left.column("pieces"),
-                "n_a": left.column("n_a").cast(pa.int64()), "n_b": left.column("n_b").cast(pa.int64()), "n_groups": pa.array(m.groups, pa.int64()),
-                "n_links": pa.array(np.bincount(m.piece, minlength=count), pa.int64()),
-                "n_best": pa.array(np.bincount(m.piece[best[place]], minlength=count), pa.int64()), "count_sum": pa.array(sums),
-                "groups": pa.array([g if keep or not single else None for g, single in zip(groups, one.tolist())], pa.string()),
-                "groups_sha256": pa.array(code, pa.string()),
-            }
-        )
+        pair, total, best = pair[order], total[order], best[order]
+        made = []
+        for batch in (lot for b in left.combine_chunks().to_batches() for lot in _lots(b, LOT)):
+            m, count = _merged(shared.value, batch), batch.num_rows
+            place = np.searchsorted(pair, m.pair)
+            sums = np.zeros(count, dtype=np.int64)
+            np.add.at(sums, m.piece, total[place])
+            one = (batch.column("pieces").to_numpy() == 1).tolist()
+            groups = [w if single else names.part(m, k) for k, (w, single) in enumerate(zip(names.whole(m, count), one))]
+            code = [(hashlib.sha256(g.encode()).hexdigest() if g else "") if single else None for g, single in zip(groups, one)]
+            made.append(
+                pa.table(
+                    {
+                        "row": batch.column("row"), id_col: batch.column(id_col), "piece": batch.column("piece"), "pieces": batch.column("pieces"),
+                        "n_a": batch.column("n_a").cast(pa.int64()), "n_b": batch.column("n_b").cast(pa.int64()), "n_groups": pa.array(m.groups, pa.int64()),
+                        "n_links": pa.array(np.bincount(m.piece, minlength=count), pa.int64()),
+                        "n_best": pa.array(np.bincount(m.piece[best[place]], minlength=count), pa.int64()), "count_sum": pa.array(sums),
+                        "groups": pa.array([g if keep or not single else None for g, single in zip(groups, one)], pa.string()),
+                        "groups_sha256": pa.array(code, pa.string()),
+                    }
+                )
+            )
+        return pa.concat_tables(made)
 
-    schema = f"row long, `{id_col}` {kind}, piece int, pieces int, {', '.join(f'{c} long' for c in _SUMS)}, groups string, groups_sha256 string"
     return cut.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)
 
 
 @cache
-def _names(spec: str, model: bytes) -> _Names:
-    return _Names(_tokenizers(spec, model))
+def _names(n_a: int, n_b: int) -> _Names:
+    return _Names(n_a, n_b)
 
 
 def _joined(parts: DataFrame, id_col: str, keep: bool) -> DataFrame:
@@ -379,12 +408,13 @@ def align(
     """
     with open(a, encoding="utf-8") as f, open(b, "rb") as g:
         spec, model = f.read(), g.read()  # two vocabulary files: their size is fixed and does not depend on the data
+    length = _tokenizers(spec, model).sizes
     cut = written(pieces(docs, spec, model, work=work, chunk=chunk, id_col=id_col, text_col=text_col))
-    found = written(links(cut, spec, model))
+    found = written(links(cut, length))
     counts = written(found.groupBy("pair").agg(F.sum("n").alias("total")).withColumn("b", F.col("pair").bitwiseAND((1 << 32) - 1)))
     highest = counts.groupBy("b").agg(F.max("total").alias("most"))
     counts = counts.join(F.broadcast(highest), "b").select("pair", "total", (F.col("total") == F.col("most")).alias("best"))
     known = found.join(counts, "pair").select("chunk", "pair", "total", "best")
-    parts = written(_measured(cut, known, spec, model, id_col, keep_groups))
+    parts = written(_measured(cut, known, length, id_col, keep_groups))
     columns = [id_col, *_SUMS, "groups_sha256", *(["groups"] if keep_groups else [])]
     return parts.where("pieces = 1").select(*columns).unionByName(_joined(parts, id_col, keep_groups).select(*columns))

@@ -70,7 +70,7 @@ def brute_alignment(rows):
 
 @pytest.mark.parametrize("work, chunk", [(alignment.PIECE, alignment.CHUNK), (5, 300)])
 def test_alignment(spark, texts, monkeypatch, work, chunk):
-    monkeypatch.setattr(alignment, "REMEMBERED", 50 if work == 5 else alignment.REMEMBERED)
+    monkeypatch.setattr(alignment, "LOT", 100 if work == 5 else alignment.LOT)
     rows = texts if work > 5 else texts[:30] + texts[-25:]
     got = alignment.align(frame_of(spark, rows), BYTES, PIECES, work=work, chunk=chunk, keep_groups=True)
     order = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "groups"]
