@@ -43,18 +43,24 @@ def _sum(c: str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0)).alias(c)
 
 
-def compare_ads(source: DataFrame, warehouse: DataFrame, start: date, end: date) -> DataFrame:
+def compare_ads(source: DataFrame, warehouse: DataFrame, start: date, end: date, known_goals: DataFrame | None = None) -> DataFrame:
     """Ads rows of both sides (one goal at most per row) to sums per client, day and goal.
 
-    ``known`` says whether the warehouse has a row of that goal in the window.
+    ``known`` says whether the warehouse has that goal: whether it is one of ``known_goals`` (client, goal_id), or else has a row
+    in ``warehouse``, on whatever day. So a goal that was loaded before the window and rested in it is not new.
     """
     values = ["impressions", "clicks", "cost", "conv"]
-    sides = [df.select("client", "dt", "goal_id", *values).where(in_window(F.col("dt"), start, end)) for df in (source, warehouse)]
-    merged = _sides(*sides, values).groupBy("client", "dt", "goal_id").agg(
-        *[_sum(f"{p}_{v}") for p in "sw" for v in values], F.max("s_rows").alias("s_rows"), F.max("w_rows").alias("w_rows")
+    columns = ["client", "dt", "goal_id", *values]
+    sides = [df.select(*columns).where(in_window(F.col("dt"), start, end)) for df in (source, warehouse)]
+    listed = warehouse.where(~F.coalesce(in_window(F.col("dt"), start, end), F.lit(False))) if known_goals is None else known_goals
+    listed = listed.where(F.col("goal_id").isNotNull()).select("client", "goal_id", F.lit(1).alias("listed"))
+    stacked = _sides(*sides, values).unionByName(listed, allowMissingColumns=True)
+    merged = stacked.groupBy("client", "dt", "goal_id").agg(
+        *[_sum(f"{p}_{v}") for p in "sw" for v in values], *[F.coalesce(F.max(m), F.lit(0)).alias(m) for m in ("s_rows", "w_rows", "listed")]
     )
     goal = Window.partitionBy("client", "goal_id")
-    return merged.repartition("client").withColumn("known", F.max("w_rows").over(goal) == 1)
+    mark = F.col("listed") if known_goals is not None else F.greatest("listed", "w_rows")
+    return merged.repartition("client").withColumn("known", F.max(mark).over(goal) == 1).where(F.col("dt").isNotNull()).drop("listed")
 
 
 def changed_days_ads(
@@ -67,8 +73,9 @@ def changed_days_ads(
     profile: str | None = None,
     skip_cost: Sequence[str] = (),
     compare_conversions: bool = True,
+    known_goals: DataFrame | None = None,
 ) -> DataFrame:
-    """(client, dt, reason) of the days to reload. Inputs are ads rows of both sides.
+    """(client, dt, reason) of the days to reload. Inputs are ads rows of both sides; ``known_goals`` as in ``compare_ads``.
 
     * ``presence``: one side has any metric above 0, the other has none;
     * ``metrics``: both have, and impressions, clicks, cost (by more than the tolerance, not
@@ -78,7 +85,7 @@ def changed_days_ads(
 
     A client without source rows is never reported. Names on ``skip_cost`` match in any spelling.
     """
-    per_goal = compare_ads(source, warehouse, start, end)
+    per_goal = compare_ads(source, warehouse, start, end, known_goals)
     real = F.col("goal_id").isNotNull()
     per_day = per_goal.groupBy("client", "dt").agg(
         *[_sum(f"{p}_{v}") for p in "sw" for v in ("impressions", "clicks", "cost")],

@@ -58,6 +58,18 @@ VIEWS = {
                     WHEN user_id % 10 >= 5 THEN NULLIF(goal_all, 5) ELSE goal_all END AS goal_id,
                user_id, event_type, value, props
         FROM {vis_src} WHERE value < 250""",
+    # ads of a dozen clients as their landed reports say them, and what the warehouse has of them
+    "rep_src": """
+        SELECT 'r' || CAST(l_suppkey % 12 AS STRING) AS client, CAST(l_shipdate AS DATE) AS dt, l_returnflag AS network,
+               CAST(l_quantity AS BIGINT) AS impressions, CAST(l_linenumber AS BIGINT) AS clicks,
+               CAST(FLOOR(l_extendedprice) AS BIGINT) AS cost, CAST(l_linenumber AS BIGINT) AS goal_id, CAST(l_quantity AS BIGINT) % 3 AS conv,
+               l_suppkey % 12 AS number, l_discount AS mark_a, l_tax AS mark_b
+        FROM {lineitem}""",
+    # days before 1994 are outside of the comparison; goal 6 rests since then, and goal 7 was never loaded
+    "rep_wh": """
+        SELECT client, dt, CASE WHEN goal_id = 7 OR (goal_id = 6 AND dt >= DATE '1994-01-01') THEN NULL ELSE goal_id END AS goal_id, impressions,
+               clicks + CASE WHEN mark_a = 0.09 AND mark_b = 0.07 AND network = 'A' THEN 1 ELSE 0 END AS clicks, CAST(cost AS DOUBLE) AS cost, conv
+        FROM {rep_src} WHERE NOT (mark_a = 0.04 AND mark_b = 0.06 AND network = 'R') AND client <> 'r9'""",
     # visit report: the events of a user and day are the report rows of one visit
     "report": """
         SELECT client, CAST(user_id AS STRING) || '-' || CAST(dt AS STRING) AS visit_id, visit_id AS pos,

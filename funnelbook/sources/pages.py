@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import lenient_double
 
+_BAD = "__bad"
+
 
 def read_pages(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Landed pages, one JSON document per line, with a given schema."""
-    return spark.read.json(path, schema=schema)
+    """Landed pages, one JSON document per line, with a given schema. A cut page fails the job; ``landed.scan_json`` reports it instead."""
+    pages = spark.read.json(path, schema=f"{schema}, {_BAD} string", columnNameOfCorruptRecord=_BAD)
+    message = F.concat(F.lit("broken page in "), F.col("_metadata.file_path"), F.lit(": "), F.substring(_BAD, 1, 200))
+    return pages.where(F.when(F.col(_BAD).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))).drop(_BAD)
 
 
 def explode_pages(pages: DataFrame, field: str, keep: Sequence[str] = ()) -> DataFrame:
