@@ -155,3 +155,105 @@ def test_second_detection_is_empty(spark, house, sf):
     assert changes().count() > 0
     small.range_replace("ads", new, collapse_ranges(changes()))
     assert changes().count() == 0
+
+
+def parts_of(spark, house, table="t"):
+    return {r[0].split("=")[1] for r in spark.sql(f"SHOW PARTITIONS {house.schema}.{table}").collect()}
+
+
+def folders(house):
+    import os
+
+    return {name for name in os.listdir(house.location) if not name.startswith((".", "_"))}
+
+
+def test_day_layout_rewrites_only_planned_days(spark):
+    house = Warehouse(spark, buckets=2, period="day")
+    days = [("a", d(1, k), k) for k in range(1, 11)] + [("b", d(1, k), 100 + k) for k in range(1, 11)]
+    house.write("t", rows(spark, days))
+
+    def files():
+        return {f.split(f"{PART}=")[1][:8]: f for f in spark.table(f"{house.schema}.t").where(f"client = 'a' AND {PART} > '0'").inputFiles()}
+
+    before = files()
+    plan = ranges(spark, [("a", d(1, 3), d(1, 4)), ("a", d(1, 4), d(1, 5)), ("a", d(1, 9), d(1, 9))])
+    house.range_replace("t", rows(spark, [("a", d(1, 3), 30), ("a", d(1, 6), 60)]), plan)
+    want = [("a", d(1, k), 30 if k == 3 else k) for k in (1, 2, 3, 6, 7, 8, 10)]
+    assert stored(house) == want + days[10:]
+    after = files()
+    assert {k for k in before if after.get(k) == before[k]} >= {f"2024010{k}" for k in (1, 2, 6, 7, 8)} | {"20240110"}
+    assert len(folders(house)) == 1  # the plan's folder is gone
+
+
+def test_replace_reads_and_shuffles_once(spark):
+    house = Warehouse(spark, buckets=2, period="day")
+    house.write("t", rows(spark, OLD))
+    plan = ranges(spark, [("a", d(1, 1), d(1, 2))])
+    from funnelbook.plans.reload import interval_plan
+
+    parts = house._touched("t", interval_plan(plan))
+    assert parts and set(parts) < parts_of(spark, house) and all(p[:8] in ("20240101", "20240102") for p in parts)
+    kept = house._in_plan(spark.table(f"{house.schema}.t").where(f"{PART} IN ({', '.join(map(repr, parts))})"), house._sent(interval_plan(plan)), inside=False)
+    text = house._laid_out(kept.drop(PART), ("client", "Date"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [part" in text and text.count("Exchange RebalancePartitions".lower()) + text.lower().count("rebalance_partitions_by_col") == 1
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+
+
+def test_null_clients_are_replaced(spark, house):
+    house.write("t", rows(spark, [*OLD, (None, d(1, 1), 8), (None, None, 9)]))
+    house.full_reload("t", rows(spark, [(None, d(1, 2), 80), ("a", d(1, 1), 50)]), d(1, 1), d(1, 31))
+    got = sorted(((r.client or "", str(r.Date), r.clicks) for r in house.read("t").collect()))
+    assert got == sorted([("", "2024-01-02", 80), ("", "None", 9), ("a", "2024-01-01", 50), ("a", "2024-02-01", 3), ("b", "2024-03-01", 5)])
+    house.range_replace("t", rows(spark, [(None, d(1, 2), 81)]), ranges(spark, [(None, d(1, 2), d(1, 2))]))
+    assert sorted(r.clicks for r in house.read("t").where("client IS NULL").collect()) == [9, 81]
+
+
+def test_ranges_without_rows(spark, house):
+    house.write("t", rows(spark, OLD))
+    new, plan = rows(spark, [("a", d(1, 1), 10)]), ranges(spark, [("a", d(1, 1), d(1, 2)), ("b", d(1, 1), d(1, 1)), ("c", d(1, 1), d(1, 1))])
+    audit = {(r.client, r.removed, r.added) for r in house.audit("t", new, plan).collect()}
+    assert audit == {("a", 2, 1), ("b", 1, 0), ("c", 0, 0)}
+    with pytest.raises(ValueError, match="b 2024-01-01..2024-01-01, c 2024"):
+        house.range_replace("t", new, plan, empty="fail")
+    assert stored(house) == OLD
+    house.range_replace("t", new, plan, empty="keep")
+    assert stored(house) == [("a", d(1, 1), 10), OLD[2], OLD[3], OLD[4]]
+    house.range_replace("t", new, plan)
+    assert stored(house) == [("a", d(1, 1), 10), OLD[2], OLD[4]]
+
+
+def test_a_swap_that_was_cut_off_is_finished(spark, house, monkeypatch):
+    house.write("t", rows(spark, OLD))
+    house.add_goal_columns("t", ["u_goal_1"])
+    rename = house._rename
+    with monkeypatch.context() as patch:
+
+        def stop(old, new):
+            if new == "t":
+                raise RuntimeError("lost")
+            rename(old, new)
+
+        patch.setattr(house, "_rename", stop)
+        with pytest.raises(RuntimeError):
+            house.replace_table("t", house.read("t").where("client = 'b'"))
+    again = Warehouse(spark, house.schema, house.location, buckets=2)
+    assert again.exists("t") and stored(again) == OLD[3:] and not again._there("t__old")
+    with monkeypatch.context() as patch:
+        patch.setattr(again, "_rename", lambda *a: (_ for _ in ()).throw(RuntimeError("before the swap")))
+        with pytest.raises(RuntimeError):
+            again.replace_table("t", rows(spark, OLD[:1]))
+    assert stored(again) == OLD[3:]
+    again.replace_table("t", rows(spark, OLD[:1]))
+    assert stored(again) == OLD[:1] and {r.u_goal_1 for r in again.read("t").collect()} == {0}
+    again.write("t", rows(spark, OLD[1:2]))
+    assert {r.u_goal_1 for r in again.read("t").collect()} == {0}
+
+
+def test_cleanup_reads_the_buckets_of_the_clients(spark):
+    house = Warehouse(spark, buckets=16)
+    names = [f"c{k}" for k in range(40)]
+    house.write("t", rows(spark, [(n, d(1, 1), k) for k, n in enumerate(names)]))
+    before = set(spark.table(f"{house.schema}.t").inputFiles())
+    assert house.cleanup_clients(rows(spark, [("c3",), (None,)], "client string"), ["t"]) == 1
+    after = set(spark.table(f"{house.schema}.t").inputFiles())
+    assert len(before - after) == 1 and sorted(r.client for r in house.read("t").collect()) == sorted(set(names) - {"c3"})
