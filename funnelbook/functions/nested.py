@@ -65,45 +65,50 @@ def flatten_structs(df: DataFrame, sep: str = ".") -> DataFrame:
 def flatten_json(df: DataFrame, roots: Sequence[str], targets: Sequence[str]) -> DataFrame:
     """Columns ``<root>_<key>[_<key>..]`` read from JSON text columns, for a given target list.
 
-    The key set may differ from row to row; no schema is discovered, each target is looked up.
-    A key may itself contain ``_``, so each split of the target is a possible path; the
-    shallowest path that has a value wins. Inner objects may be nested or string-encoded, as deep
-    as the target's name has parts. An empty inner object is kept as the text ``{}``.
-
-    Every object is parsed once per row, into the keys that some target can need, and an absent
-    one costs a null check. Each level is its own projection, so a parsed object is shared by
-    all its targets.
+    The key set may differ from row to row; no schema is discovered, each target is looked up. A key may itself contain ``_``,
+    and inner objects may be nested or string-encoded, as deep as the target's name has parts; the shallowest value of a name wins. An
+    empty inner object is kept as the text ``{}``.
+
+    Every root is parsed once into a map of texts. The inner objects of a row, if it has any, are the texts in it that begin
+    with a brace; they give the map of the next level, with their names put together. So the plan has one parse for each root and
+    level, whatever the number of targets, and a row without inner objects is parsed once.
     """
     kept = [c for c in df.columns if c not in roots and c not in targets]
-    paths: dict[str, list[Column]] = {t: [] for t in targets}
-    # objects of the current level: their text, and for each target what is left of its name
-    level: list[tuple[Column, dict[str, str]]] = []
-    for r in sorted(roots, key=len, reverse=True):
-        rests = {t: t[len(r) + 1:] for t in targets if t.startswith(f"{r}_")}
-        if rests:
-            level.append((F.col(r), rests))
-    out, parsed = df, list[str]()
-    while level:
-        fresh, following = {}, []
-        for text, rests in level:
-            inner: dict[str, dict[str, str]] = {}
-            for t, rest in rests.items():
-                parts = rest.split("_")
-                for i in range(1, len(parts)):
-                    inner.setdefault("_".join(parts[:i]), {})[t] = "_".join(parts[i:])
-            keys = dict.fromkeys([*rests.values(), *inner])
-            name = f"__o{len(parsed) + len(fresh)}"
-            fresh[name] = F.from_json(text, T.StructType([T.StructField(k, T.StringType()) for k in keys]))
-            for t, rest in rests.items():
-                paths[t].append(F.col(f"{name}.{rest}"))
-            following += [(F.col(f"{name}.{prefix}"), left) for prefix, left in inner.items()]
-        out = out.select(*[F.col(f"`{c}`") for c in kept], *parsed, *[c.alias(n) for n, c in fresh.items()])
-        parsed += fresh
-        level = following
-    return out.select(
-        *[F.col(f"`{c}`") for c in kept],
-        *[(F.coalesce(*p) if p else F.lit(None).cast("string")).alias(t) for t, p in paths.items()],
+    wanted: dict[str, list[tuple[int, str]]] = {}
+    for i, r in enumerate(roots):
+        for t in targets:
+            if t.startswith(f"{r}_"):
+                wanted.setdefault(t, []).append((i, t[len(r) + 1:]))
+    depth = {i: max(rest.count("_") + 1 for places in wanted.values() for j, rest in places if j == i) for i in {i for p in wanted.values() for i, _ in p}}
+    carried = [F.col(f"`{c}`") for c in kept]
+    out = df.select(*carried, *[_texts(F.col(roots[i])).alias(f"__m{i}_0") for i in depth])
+    for level in range(1, max(depth.values(), default=1)):
+        deeper = [i for i in depth if depth[i] > level]
+        # a projection of its own for each level, so that a map is made once for all that refers to it
+        out = out.select("*", *[_inner(F.col(f"__m{i}_{level - 1}")).alias(f"__m{i}_{level}") for i in deeper])
+
+    def value(t: str) -> Column:
+        places = sorted(((k, -len(roots[i]), i, rest) for i, rest in wanted.get(t, ()) for k in range(rest.count("_") + 1)))
+        found = [F.col(f"__m{i}_{k}").getItem(rest) for k, _, i, rest in places]
+        return (F.coalesce(*found) if found else F.lit(None).cast("string")).alias(t)
+
+    return out.select(*carried, *[value(t) for t in targets])
+
+
+def _texts(c: Column) -> Column:
+    """A JSON object as a map of texts; inner objects are their own JSON text."""
+    return F.from_json(c, "map<string,string>")
+
+
+def _inner(texts: Column) -> Column:
+    """The values of all inner objects, named by both keys. Of equal names the first counts; null if there are no inner objects."""
+    objects = F.map_entries(F.map_filter(texts, lambda k, v: F.startswith(F.ltrim(v), F.lit("{"))))
+    each = F.flatten(
+        F.transform(objects, lambda o: F.transform(F.map_entries(F.coalesce(_texts(o["value"]), F.create_map().cast("map<string,string>"))), lambda e: F.struct(F.concat_ws("_", o["key"], e["key"]).alias("k"), e["value"].alias("v"))))
     )
+    names = F.transform(each, lambda e: e["k"])
+    first = F.filter(each, lambda e, i: F.array_position(names, e["k"]) == i + 1)
+    return F.when(F.exists(F.map_values(texts), lambda v: F.startswith(F.ltrim(v), F.lit("{"))), F.map_from_entries(first))
 
 
 def coalesce_aliases(df: DataFrame, target: str, names: Sequence[str]) -> DataFrame:

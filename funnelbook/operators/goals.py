@@ -3,21 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_visit_ts
+from ..functions.frames import in_window
 from ..functions.text import goal_class
 from ..plans.skew import skew_join
 
 # Fixed value: this goal id never counts as a goal of a campaign.
 EXCLUDED_GOAL = 12
 
-# Most goals a client may have where they are gathered into one row.
-GOAL_BOUND = 10_000
-
 # Campaign kinds that carry priority goals.
 CAMPAIGN_KINDS = ("TextCampaign", "DynamicTextCampaign", "SmartCampaign")
 
@@ -25,18 +24,25 @@ CAMPAIGN_KINDS = ("TextCampaign", "DynamicTextCampaign", "SmartCampaign")
 def goal_hits(visits: DataFrame, keys: Sequence[str], goals: str, times: str) -> DataFrame:
     """One row per visit and distinct goal: how often it was reached and when first.
 
-    A visit carries its whole goal list in its row, so the counting happens inside the row
-    and no shuffle is needed. A missing or malformed time gives null.
+    A visit carries its whole goal list in its row, so the counting happens inside the row and no shuffle is needed: the goals
+    with their places are sorted, and where the goal changes a count ends, so a list of n goals costs n log n steps however many of
+    them differ. Null goals do not count. A missing or malformed time gives null.
     """
-    ids = F.array_compact(F.col(goals))
-    each = visits.select(*keys, goals, times, F.explode(F.array_distinct(ids)).alias("goal_id"))
-    first = F.array_position(F.col(goals), F.col("goal_id")).cast("int") - 1
-    return each.select(
-        *keys,
-        "goal_id",
-        F.size(F.filter(goals, lambda g: g == F.col("goal_id"))).cast("bigint").alias("hits"),
-        parse_visit_ts(F.get(times, first)).alias("first_time"),
+    places = F.filter(F.transform(F.col(goals), lambda g, i: F.struct(g.alias("g"), i.alias("i"))), lambda p: p["g"].isNotNull())
+    # each list is a column of its own, made once for all that refers to it
+    ordered = visits.select(*keys, times, F.array_sort(places).alias("__s")).where(F.size("__s") > 0)
+
+    def goal(i: Column) -> Column:
+        return F.get("__s", i)["g"]
+
+    begins = F.filter(F.sequence(F.lit(0), F.size("__s") - 1), lambda i: (i == 0) | (goal(i) != goal(i - 1)))
+    cut = ordered.withColumn("__b", F.concat(begins, F.array(F.size("__s"))))
+    counted = F.transform(
+        F.slice("__b", 1, F.size("__b") - 1),
+        lambda b, k: F.struct(goal(b).alias("goal_id"), (F.get("__b", k + 1) - b).cast("bigint").alias("hits"), F.get(times, F.get("__s", b)["i"]).alias("t")),
     )
+    each = cut.select(*keys, F.explode(counted).alias("__h"))
+    return each.select(*keys, "__h.goal_id", "__h.hits", parse_visit_ts(F.col("__h.t")).alias("first_time"))
 
 
 def goal_dimension(goals: DataFrame) -> DataFrame:
@@ -60,33 +66,44 @@ def goal_flags(hits: DataFrame, goals: DataFrame) -> DataFrame:
     )
 
 
-def goal_sums(visits: DataFrame, goals: DataFrame, ids: str, counted: DataFrame | None = None) -> DataFrame:
-    """Adds ``g_sum_goal`` and ``u_sum_goal`` to each visit.
+def list_sums(lists: DataFrame, goals: DataFrame, ids: str) -> DataFrame:
+    """(client, ``ids``, g_sum_goal, u_sum_goal) of every distinct goal list of a client that reaches one of its goals.
 
-    The goal ids of a client fit one row (a counter has a few hundred; beyond ``GOAL_BOUND`` the
-    job fails), so the join is on the client and visit rows are neither exploded nor grouped. ``counted`` may name a
-    cheaper frame with about the same client frequencies as ``visits``.
+    ``lists`` is (client, ``ids``), best straight from the stored log. Lists are made distinct before they are spread to narrow
+    rows (client, goal), and counted by list with a sum in each task, so neither the goals of a client nor visits meet in one place.
     """
-    w = Window.partitionBy("client").orderBy("goal_id")
-    bounded = goals.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= GOAL_BOUND + 1)
-    too_many = F.raise_error(F.lit("too many goals for one client")).cast("bigint")
-    checked = bounded.withColumn("goal_id", F.when(F.col("__rn") <= GOAL_BOUND, F.col("goal_id")).otherwise(too_many))
-    per_client = checked.groupBy("client").agg(
-        F.collect_set("goal_id").alias("__u"),
-        F.collect_set(F.when(F.col("class") == "g", F.col("goal_id"))).alias("__g"),
+    known = goals.where(F.col("goal_id").isNotNull()).select("client", "goal_id", "class").distinct()
+    known = known.groupBy("client", "goal_id").agg(F.max(F.coalesce((F.col("class") == "g").cast("int"), F.lit(0))).alias("marked"))
+    some = lists.where(F.size(ids) > 0).select("client", ids).distinct()
+    each = some.select("client", ids, F.explode(F.array_distinct(ids)).alias("goal_id"))
+    return each.join(known, ["client", "goal_id"]).groupBy("client", ids).agg(
+        F.sum("marked").cast("bigint").alias("g_sum_goal"), F.count("*").cast("bigint").alias("u_sum_goal")
     )
 
-    def reached(known: str):
-        return F.coalesce(F.size(F.array_intersect(F.col(ids), F.col(known))), F.lit(0)).cast("bigint")
 
-    joined = skew_join(per_client, visits, ["client"], "left", counted=counted)
-    known = {k: F.coalesce(F.col(k), F.array().cast("array<bigint>")) for k in ("__u", "__g")}
-    return (
-        joined.withColumns(known)
-        .withColumn(ids, F.coalesce(F.col(ids), F.array().cast("array<bigint>")))
-        .withColumns({"g_sum_goal": reached("__g"), "u_sum_goal": reached("__u")})
-        .drop("__u", "__g")
-    )
+def goal_sums(visits: DataFrame, goals: DataFrame, ids: str, lists: DataFrame | None = None) -> DataFrame:
+    """Adds ``g_sum_goal`` and ``u_sum_goal``, the number of the client's goals that a visit reached, to each visit.
+
+    ``lists`` names the stored goal lists, (client, ``ids``), where ``visits`` is costly to compute a second time. Visits are joined to
+    the sums of their list; frequent lists, and the empty one above all, are spread.
+    """
+    counted = (visits if lists is None else lists).select("client", ids)
+    sums = list_sums(counted, goals, ids)
+    listed = visits.withColumn(ids, F.coalesce(F.col(ids), F.array().cast("array<bigint>")))
+    empty = counted.select("client", F.coalesce(F.col(ids), F.array().cast("array<bigint>")).alias(ids))
+    joined = skew_join(sums, listed, ["client", ids], "left", counted=empty)
+    out = joined.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("g_sum_goal", "u_sum_goal")})
+    return out.select(*listed.columns, "g_sum_goal", "u_sum_goal")
+
+
+def goal_list_daily(visits: DataFrame, start: date, end: date, ids: str, *, date_col: str = "dateTime") -> DataFrame:
+    """(client, dt, goal_id, conversions) out of stored visits: how many visits of a day have the goal in their list.
+
+    The window reaches the scan and two columns of it are read; counts are made in each task before the only shuffle, so a
+    client with very many visits brings its days and goals.
+    """
+    rows = visits.where(in_window(F.col(date_col), start, end)).select("client", F.to_date(date_col).alias("dt"), F.explode(F.array_distinct(ids)).alias("goal_id"))
+    return rows.where(F.col("goal_id").isNotNull()).groupBy("client", "dt", "goal_id").agg(F.count("*").alias("conversions"))
 
 
 def pivot_goals(df: DataFrame, keys: Sequence[str], value: str, goal_ids: Sequence[int], prefix: str) -> DataFrame:

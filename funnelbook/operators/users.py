@@ -10,8 +10,8 @@ from .access import latest
 
 
 def current_users(log: DataFrame) -> DataFrame:
-    """(id, name, role) of each user from rows (id, name, role, version)."""
-    return latest(log, "id", "version").select("id", "name", "role")
+    """(id, name, role) of each user from rows (id, name, role, version); of equal versions the largest role, then name, counts."""
+    return latest(log, "id", "version", "role", "name").select("id", "name", "role")
 
 
 def users_by_role(log: DataFrame, role: str) -> DataFrame:

@@ -60,8 +60,8 @@ def enrich_visits(report: DataFrame, logs: DataFrame, keys: Sequence[str]) -> Da
     """Report rows with their log columns; rows without duration or page views are dropped.
 
     That filter also drops report rows without a log row, so an inner join says the same;
-    ``unmatched_visits`` counts them. Rows of a hot key (repeated or placeholder ids in the
-    log) are spread by salting.
+    ``unmatched_visits`` counts them. Rows of a hot key (repeated or placeholder ids in the log) are split by adaptive
+    execution; each side is read once.
     """
     joined = skew_join(report, logs, keys)
     return joined.where(F.col("visitDuration").isNotNull() & F.col("pageViews").isNotNull())
@@ -114,7 +114,7 @@ def shape_visits(report: DataFrame, logs: DataFrame, goals: DataFrame, keys: Seq
     visits = visits.withColumns(
         {"goalsID": list_of_longs(F.col("goalsID")), "goalsDateTime": list_of_strings(F.col("goalsDateTime"))}
     )
-    return goal_sums(visits, goals, "goalsID", counted=report.select("client"))
+    return goal_sums(visits, goals, "goalsID", logs.select("client", list_of_longs(F.col("goalsID")).alias("goalsID")))
 
 
 def dedup_visits(visits: DataFrame, keys: Sequence[str], order: str, *ties: str) -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHARE = 64
-SALTS = 32
+#: Keys that hold more than one in so many rows, or in as many as there are shuffle partitions if these are fewer, are hot.
+SHARE = 1024
 
 
 def skew_join(
@@ -18,37 +18,39 @@ def skew_join(
     how: str = "inner",
     *,
     counted: DataFrame | None = None,
-    share: int = SHARE,
-    salts: int = SALTS,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Equi-join of a side with unique keys to a side that may have a few very frequent ones.
+    """Equi-join of a side with unique keys to a side that may have very frequent ones; null keys have no partner.
 
     ``inner``, or ``left`` to keep the rows of ``many`` that have no partner.
 
-    Keys that hold more than one in ``share`` rows are found with a frequency sketch of fixed
-    size in one pass over the key columns of ``counted``: by default ``many``, better a cheap
-    scan with about the same keys where ``many`` is costly to compute. There are fewer than
-    ``share`` such keys, so the list that every task gets has a fixed bound. Rows of such a key
-    are dealt to ``salts`` groups and the single partner row is copied to each; all other rows
-    join once as usual. A wrong estimate changes the spread of the work, never the result.
-
-    The group of a row depends on its content and its partition only, so a task that runs
-    again after the loss of an executor deals its rows the same way.
+    Without ``counted`` this is a plain join, whose hot partitions adaptive execution splits by their measured size, and each side is
+    read once. Adaptive execution does not split where a later step relies on the join's partitioning, and a row that was
+    shuffled to one place is read from there by all parts. With ``counted``, a stored frame with about the same keys (best the
+    key columns alone), hot keys are found before the shuffle, with a frequency sketch of fixed size. Rows of a
+    hot key are dealt to as many groups as its share of all partitions, three times over so that groups which fall together even out: a
+    key with a third of the rows goes to all partitions, one with a hundredth to three in a hundred. The single partner row is
+    copied to each group; all other rows join once as usual. There are at most ``SHARE`` hot keys, so the map that every task
+    gets has a fixed bound. A wrong estimate changes the spread of the work, never the result.
+
+    The group of a row depends on its content and its partition only, so a task that runs again after the loss of an
+    executor deals its rows the same way.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
+    if counted is None:
+        return one.join(many, list(keys)) if how == "inner" else many.join(one, list(keys), "left")
+    parts = partitions or int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(2, min(SHARE, parts))
     hashed = F.xxhash64(*keys)
-    top = (many if counted is None else counted).select(
-        F.call_function("approx_top_k", hashed, F.lit(share), F.lit(4 * share)).alias("top"), F.count("*").alias("n")
-    )
+    top = counted.select(F.call_function("approx_top_k", hashed, F.lit(share), F.lit(4 * share)).alias("top"), F.count("*").alias("n"))
     frequent = F.filter("top", lambda t: t.getField("count") * share > F.col("n"))
-    hot = top.select(F.transform(frequent, lambda t: t.getField("item"))).scalar()
-    is_hot = F.array_contains(F.coalesce(hot, F.array().cast("array<bigint>")), hashed)
+    groups = F.transform(frequent, lambda t: F.least(F.lit(parts), F.ceil(3 * parts * t.getField("count") / F.col("n"))).cast("int"))
+    hot = top.select(F.map_from_arrays(F.transform(frequent, lambda t: t.getField("item")), groups)).scalar()
+    salts = F.coalesce(F.try_element_at(F.coalesce(hot, F.create_map().cast("map<bigint,int>")), hashed), F.lit(1))
 
     content = [c for c, t in many.dtypes if "map<" not in t and "variant" not in t]
-    deal = F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(salts)).cast("int")
-    spread = many.withColumn("__salt", F.when(is_hot, deal).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = one.withColumn("__salts", copies).withColumn("__salt", F.explode_outer("__salts")).drop("__salts")
+    spread = many.withColumn("__salt", F.pmod(F.xxhash64(*content, F.spark_partition_id()), salts).cast("int"))
+    copied = one.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     on = [*keys, "__salt"]
     return (copied.join(spread, on) if how == "inner" else spread.join(copied, on, "left")).drop("__salt")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.access import (
-    delete_access, import_access, keep_favourites, latest, lookup_access, pick_credential, read_access, refresh_agency, split_access,
+    agencies, delete_access, import_access, keep_favourites, latest, lookup_access, pick_credential, read_access, refresh_agency, split_access,
     upsert_access, with_legacy,
 )
 from ..operators.users import add_users, delete_users, users_by_role
 from ..plans.warehouse import Warehouse
-from ..sources.access_files import access_export
+from ..session import shared_dir
+from ..sources.access_files import access_export, export_csv, read_access_file
 from .base import query, table, view
 
 COLS = "COALESCE(login, '-') AS login, COALESCE(token, '-') AS token, COALESCE(container, '-') AS container, COALESCE(type, '-') AS type"
@@ -220,3 +221,26 @@ def q_users_delete(spark, sf):
 def q_latest_role(spark, sf):
     users = table(spark, sf, "events").select(F.col("user_id").alias("id"), F.col("event_type").alias("role"), F.col("event_id").alias("version"))
     return latest(users, "id", "version")
+
+
+@query(
+    "agencies",
+    """SELECT client_id, client_secret, COALESCE(container, '-') AS container FROM (
+           SELECT login AS client_id, token AS client_secret, NULLIF(container, '') AS container, ROW_NUMBER() OVER (PARTITION BY login ORDER BY seq DESC) AS n
+           FROM {access} WHERE COALESCE(login, '') <> '' AND COALESCE(token, '') <> '' AND (type IS NULL OR split_part(type, ':', 1) = 'ads')) x WHERE n = 1""",
+)
+def q_agencies(spark, sf):
+    return agencies(view(spark, sf, "access"), "ads", ["seq"]).fillna("-")
+
+
+@query("access_files", PREPARED + f" SELECT DISTINCT {COLS} FROM p WHERE token IS NOT NULL")
+def q_access_files(spark, sf):
+    """An uploaded file is read, cleaned, put in the place of the stored table, exported, and read again."""
+    folder = shared_dir(spark)
+    export_csv(_upload(spark, sf), f"{folder}/upload")
+    kept, _ = import_access(read_access_file(spark, f"{folder}/upload"))
+    house = Warehouse(spark, buckets=1)
+    house.write("access", view(spark, sf, "access").drop("seq"), ("login",))
+    house.replace_table("access", kept, ("login",))
+    export_csv(access_export(house.read("access")), f"{folder}/export", ["login", "container"])
+    return _filled(read_access_file(spark, f"{folder}/export").select("login", "token", "container", "type"))

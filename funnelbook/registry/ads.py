@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.frames import in_window, sum_columns
-from ..operators.goals import goal_sets, merge_goal_batches, pivot_goals
+from ..functions.frames import align, in_window, metric_columns, select_prefix, sum_columns
+from ..operators.goals import drop_legacy, goal_sets, merge_goal_batches, pivot_goals
 from ..operators.summaries import daily_summary, goal_daily, merge_slices
 from ..plans.changes import (
     changed_days_ads, diagnostics, goal_deltas, new_goal_days,
 )
 from ..plans.reload import collapse_ranges, plan_jobs
 from ..plans.windows import day_series, window_chunks
-from ..sources.reports import profile_project
+from ..sources.reports import ANALYTICS_TYPES, profile_project
 from .base import ADS_END, ADS_START, query, table, view
 
 SKIP = ("c3", "c5")
@@ -277,3 +277,83 @@ def q_day_series(spark, sf):
 )
 def q_window_chunks(spark, sf):
     return window_chunks(_client_windows(spark, sf))
+
+
+ANALYTICS = {
+    "Date": "CAST(dt AS STRING)", "AdId": "campaign_id", "Slot": "slot", "AdNetworkType": "network", "Impressions": "impressions", "Clicks": "clicks",
+    "Cost": "CAST(cost AS DOUBLE)", "Conversions": "conv",
+}
+
+
+def _analytics(spark, sf):
+    return view(spark, sf, "ads_src").select(
+        "client", F.col("dt").alias("Date"), F.col("campaign_id").alias("AdId"), F.col("slot").alias("Slot"), F.col("network").alias("AdNetworkType"),
+        F.col("impressions").alias("Impressions"), F.col("clicks").alias("Clicks"), F.col("cost").cast("double").alias("Cost"), F.col("conv").alias("Conversions"),
+        F.col("conv").alias("Conversions_1_LSC"), "group_id",
+    )
+
+
+@query("profile_analytics", f"SELECT client, {', '.join(f'{e} AS {chr(34)}{c}{chr(34)}' for c, e in ANALYTICS.items())}, conv AS \"Conversions_1_LSC\" FROM {{ads_src}}")
+def q_profile_analytics(spark, sf):
+    return profile_project(_analytics(spark, sf))
+
+
+@query(
+    "align_columns",
+    f"""SELECT client, {', '.join(f"{ANALYTICS.get(c, 'NULL')} AS {chr(34)}{c}{chr(34)}" if c in ANALYTICS else f"'-' AS {chr(34)}{c}{chr(34)}" for c in ('Date', 'AdId', 'Slot', 'Age', 'Device', 'Clicks', 'Cost'))}
+        FROM {{ads_src}}""",
+)
+def q_align_columns(spark, sf):
+    types = {"client": "string"} | {c: ANALYTICS_TYPES[c] for c in ("Date", "AdId", "Slot", "Age", "Device", "Clicks", "Cost")}
+    return align(_analytics(spark, sf), types, {"Age": "-", "Device": "-"})
+
+
+@query(
+    "prefix_columns",
+    """SELECT client, CAST(SUM(conv) AS BIGINT) AS total, CAST(SUM(CASE WHEN goal_id IN (1, 2) THEN conv ELSE 0 END) AS BIGINT) AS some FROM {ads_src} GROUP BY client""",
+)
+def q_prefix_columns(spark, sf):
+    wide = pivot_goals(view(spark, sf, "ads_src"), ["client"], "conv", range(1, 8), "conv_")
+    low = wide.withColumnsRenamed({"conv_1": "Goal_1", "conv_2": "goal_2"})
+    some = select_prefix(low, "GOAL_", ignore_case=True)
+    return low.select("client", sum_columns(low, [*some, *select_prefix(low, "conv_")]).alias("total"), sum_columns(low, some).alias("some"))
+
+
+@query(
+    "metric_columns",
+    """SELECT client, CAST(dt AS STRING) AS dt, CAST(SUM(impressions) AS BIGINT) AS "Impressions", CAST(SUM(cost) AS DOUBLE) AS "Cost",
+              CAST(SUM(conv) AS BIGINT) AS "Conversions_1_LSC" FROM {ads_src} GROUP BY client, dt""",
+)
+def q_metric_columns(spark, sf):
+    rows = _analytics(spark, sf).withColumnRenamed("Date", "dt")
+    daily = daily_summary(rows, metric_columns(rows, ["impressions", "cost"], ["conversions_"]), ADS_START, ADS_END)
+    return daily.withColumn("Cost", F.round("Cost", 2)).select("client", "dt", "Impressions", "Cost", "Conversions_1_LSC")
+
+
+@query(
+    "drop_legacy",
+    """SELECT client, CAST(dt AS STRING) AS dt, CAST(SUM(CASE WHEN goal_id = 1 THEN conv ELSE 0 END) AS BIGINT) AS g_goal_1,
+              CAST(SUM(CASE WHEN goal_id = 2 THEN conv ELSE 0 END) AS BIGINT) AS u_goal_2 FROM {ads_src} GROUP BY client, dt""",
+)
+def q_drop_legacy(spark, sf):
+    wide = pivot_goals(view(spark, sf, "ads_src"), ["client", "dt"], "conv", [1, 2, 3, 4], "x_")
+    old = wide.withColumnsRenamed({"x_1": "g_goal_1", "x_2": "u_goal_2", "x_3": "g_goal_3", "x_4": "goal_4"}).withColumn("sum_goal", F.lit(1))
+    return drop_legacy(old, marked=[1])
+
+
+@query(
+    "goal_deltas_first",
+    """WITH s AS (SELECT network AS client, dt, group_id % 50 AS goal_id, COUNT(*) AS v FROM {ads_src} GROUP BY 1, 2, 3),
+            w AS (SELECT network AS client, dt, group_id % 50 AS goal_id, COUNT(*) AS v FROM {ads_wh} WHERE mark_a < 0.04 GROUP BY 1, 2, 3),
+            d AS (SELECT s.client, s.dt, s.goal_id, s.v AS sv, COALESCE(w.v, 0) AS wv FROM s LEFT JOIN w ON s.client = w.client AND s.dt = w.dt AND s.goal_id = w.goal_id),
+            x AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY client, dt ORDER BY goal_id) AS rn, COUNT(*) OVER (PARTITION BY client, dt) AS n FROM d WHERE sv <> wv)
+       SELECT client, CAST(dt AS STRING) AS dt, goal_id, sv AS s_conversions, wv AS w_conversions, sv - wv AS delta, GREATEST(n - 2, 0) AS more FROM x WHERE rn <= 2""",
+)
+def q_goal_deltas_first(spark, sf):
+    """As ``goal_deltas`` with networks in the place of clients and a limit that days reach."""
+
+    def side(name, where):
+        rows = view(spark, sf, name).where(where).select(F.col("network").alias("client"), "dt", (F.col("group_id") % 50).alias("goal_id"), F.lit(1).alias("conv"))
+        return goal_daily(rows, ADS_START, ADS_END)
+
+    return goal_deltas(side("ads_src", "true"), side("ads_wh", "mark_a < 0.04"), limit=2)

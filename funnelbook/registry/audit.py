@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators.audit import cleanup_entries, failed, fan_out, newest_runs, recent_alerts, stale_clients
 from ..session import shared_dir
-from ..streaming.monitor import failed_run_stream, write_alerts
+from ..streaming.monitor import failed_run_stream, read_alerts, write_alerts
 from .base import query, table, view
 
 SINCE = datetime(2024, 1, 20)
@@ -77,6 +77,6 @@ def q_failed_runs_stream(spark, sf):
         F.col("event_id").alias("id"), F.col("event_type").alias("state"), F.col("ts").alias("end_time"), F.array(tag).alias("tags"), "user_id"
     )
     folder = shared_dir(spark)
-    alerts = failed_run_stream(runs, SINCE, states=("ERROR",)).select("id", "user_id")
+    alerts = failed_run_stream(runs, SINCE, states=("ERROR",)).select("id", "user_id", "end_time")
     write_alerts(alerts, f"{folder}/alerts", f"{folder}/progress").awaitTermination()
-    return spark.read.schema("id bigint, user_id bigint").parquet(f"{folder}/alerts")
+    return read_alerts(spark, f"{folder}/alerts", "id bigint, user_id bigint")

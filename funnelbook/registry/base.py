@@ -91,10 +91,10 @@ VIEWS = {
                      CAST(date_trunc('second', MIN(ts)) AS STRING) AS first_ts,
                      CAST(SUM(CAST(FLOOR(value) AS BIGINT)) AS BIGINT) AS duration, CAST(COUNT(*) AS BIGINT) AS page_views,
                      MAX(CASE event_type WHEN 'view' THEN 2 WHEN 'click' THEN 1 ELSE 0 END) AS device,
-                     CAST(LEAST(SUM(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END), 2) AS INT) AS n1,
-                     CAST(LEAST(SUM(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END), 2) AS INT) AS n2,
-                     CAST(LEAST(SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END), 2) AS INT) AS n4,
-                     CAST(LEAST(SUM(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END), 2) AS INT) AS n5,
+                     CAST(SUM(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS INT) AS n1,
+                     CAST(SUM(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS INT) AS n2,
+                     CAST(SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS INT) AS n4,
+                     CAST(SUM(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS INT) AS n5,
                      CAST(date_trunc('second', MIN(CASE WHEN event_type = 'signup' THEN ts END)) AS STRING) AS t1,
                      CAST(date_trunc('second', MIN(CASE WHEN event_type = 'purchase' THEN ts END)) AS STRING) AS t2,
                      CAST(date_trunc('second', MIN(CASE WHEN event_type = 'click' THEN ts END)) AS STRING) AS t4

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.nested import list_of_longs, list_of_strings
-from ..operators.goals import goal_dimension, goal_flags, goal_hits, stale_goals
+from ..operators.goals import drop_goals, goal_dimension, goal_flags, goal_hits, goal_list_daily, stale_goals
 from ..operators.summaries import daily_visits, day_goal_detail, day_snapshot, goal_daily
-from ..operators.visits import collapse_visits, dedup_visits, enrich_visits, shape_visits
+from ..operators.visits import collapse_visits, dedup_visits, enrich_visits, shape_visits, unmatched_visits
 from ..plans.changes import changed_days_visits
+from ..plans.warehouse import Warehouse
+from ..session import shared_dir
+from ..sources.reports import read_visit_parts
 from .base import VISITS_END, VISITS_START, query, view
 
 KEYS = ["client", "visit_id"]
@@ -206,3 +209,93 @@ def q_shape_visits(spark, sf):
     return visits.select(
         *KEYS, "gender", "interest", "visitDuration", "pageViews", "deviceCategory", "dateTime", "u_sum_goal", "g_sum_goal"
     )
+
+
+@query(
+    "drop_goals",
+    """WITH marked AS (SELECT client, CAST(id AS BIGINT) AS goal_id FROM {goal_names} WHERE lower(name) LIKE '%madd%')
+       SELECT client, CAST(dt AS STRING) AS dt, goal_all AS goal_id, COUNT(*) AS conversions FROM {vis_src} v
+       WHERE goal_all IS NOT NULL AND EXISTS (SELECT 1 FROM marked m WHERE m.client = v.client AND m.goal_id = v.goal_all) GROUP BY client, dt, goal_all""",
+)
+def q_drop_goals(spark, sf):
+    stored = view(spark, sf, "vis_src").where("goal_all IS NOT NULL")
+    daily = stored.groupBy("client", "dt", F.col("goal_all").alias("goal_id")).agg(F.count("*").alias("conversions"))
+    marked = daily.select("client", "goal_id").distinct().withColumn("class", F.lit("g"))
+    return drop_goals(daily, stale_goals(marked, goal_dimension(view(spark, sf, "goal_names"))))
+
+
+@query(
+    "unmatched_visits",
+    """SELECT client, COUNT(*) AS unmatched FROM {report} r
+       WHERE NOT EXISTS (SELECT 1 FROM {vis_log} l WHERE l.client = r.client AND l.visit_id = r.visit_id) GROUP BY client""",
+)
+def q_unmatched_visits(spark, sf):
+    return unmatched_visits(view(spark, sf, "report"), view(spark, sf, "vis_log"), KEYS)
+
+
+@query(
+    "day_goals_first",
+    """WITH v AS (SELECT client, dt, user_id % 30 AS goal_id FROM {vis_src}),
+            d AS (SELECT client, dt, COUNT(*) AS visits FROM v GROUP BY client, dt),
+            g AS (SELECT client, dt, goal_id, COUNT(*) AS conversions, ROW_NUMBER() OVER (PARTITION BY client, dt ORDER BY goal_id) AS n FROM v GROUP BY client, dt, goal_id)
+       SELECT d.client, CAST(d.dt AS STRING) AS dt, d.visits, g.goal_id, g.conversions FROM d JOIN g ON g.client = d.client AND g.dt = d.dt WHERE n <= 20""",
+)
+def q_day_goals_first(spark, sf):
+    """As ``day_goal_detail`` with clients put together, so that a day has more goals than the report shows."""
+    rows = view(spark, sf, "vis_src").withColumns({"goal_id": F.col("user_id") % 30, "visits": F.lit(1), "conv": F.lit(1)})
+    return day_goal_detail(goal_daily(rows, VISITS_START, VISITS_END), daily_visits(rows, VISITS_START, VISITS_END).drop("conversions"))
+
+
+LOG_TYPES = {
+    "client": "string", "ym:s:visitID": "string", "ym:s:dateTime": "string", "ym:s:visitDuration": "bigint", "ym:s:pageViews": "bigint",
+    "ym:s:deviceCategory": "string", "ym:s:goalsID": "string", "ym:s:goalsDateTime": "string",
+}
+REPORT_TYPES = {"client": "string", "ym:s:visitID": "string", "pos": "bigint", "ym:s:interest": "string", "ym:s:gender": "string"}
+
+
+@query(
+    "visits_files_to_changes",
+    f"""WITH {HITS},
+            visit AS (SELECT client, visit_id, CAST(CAST(first_ts AS TIMESTAMP) AS DATE) AS dt, page_views <= 3 AS stored FROM {{vis_log}}),
+            source_goals AS (SELECT client, CAST(id AS BIGINT) AS goal_id FROM {{goal_names}}),
+            known AS (SELECT * FROM source_goals WHERE goal_id <> 5 UNION ALL SELECT 'm_1', CAST(99 AS BIGINT)),
+            hit AS (SELECT v.client, v.dt, v.stored, h.goal_id FROM hits h JOIN visit v ON v.client = h.client AND v.visit_id = h.visit_id),
+            s AS (SELECT v.client, v.dt, v.n AS v, COALESCE(c.n, 0) AS c FROM (SELECT client, dt, COUNT(*) AS n FROM visit GROUP BY client, dt) v
+                  LEFT JOIN (SELECT h.client, h.dt, COUNT(*) AS n FROM hit h JOIN source_goals g ON g.client = h.client AND g.goal_id = h.goal_id GROUP BY 1, 2) c ON c.client = v.client AND c.dt = v.dt),
+            w AS (SELECT v.client, v.dt, v.n AS v, COALESCE(c.n, 0) AS c FROM (SELECT client, dt, COUNT(*) AS n FROM visit WHERE stored GROUP BY client, dt) v
+                  LEFT JOIN (SELECT h.client, h.dt, COUNT(*) AS n FROM hit h JOIN known g ON g.client = h.client AND g.goal_id = h.goal_id WHERE stored GROUP BY 1, 2) c ON c.client = v.client AND c.dt = v.dt),
+            missing AS (SELECT DISTINCT client FROM (SELECT client, goal_id FROM known EXCEPT SELECT client, goal_id FROM source_goals) x),
+            sg AS (SELECT h.client, h.dt, SUM(CASE WHEN k.goal_id IS NOT NULL THEN 1 ELSE 0 END) AS kn, SUM(CASE WHEN k.goal_id IS NULL THEN 1 ELSE 0 END) AS fresh
+                   FROM hit h LEFT JOIN known k ON k.client = h.client AND k.goal_id = h.goal_id GROUP BY h.client, h.dt),
+            wg AS (SELECT h.client, h.dt, COUNT(*) AS kn FROM hit h JOIN known k ON k.client = h.client AND k.goal_id = h.goal_id WHERE stored GROUP BY h.client, h.dt),
+            r AS (SELECT s.client, s.dt, CASE WHEN w.v IS NULL THEN 'presence' WHEN s.v <> w.v THEN 'visits'
+                         WHEN s.client NOT IN (SELECT client FROM missing)
+                              AND CASE WHEN s.client IN (SELECT client FROM known) THEN COALESCE(sg.kn, 0) <> COALESCE(wg.kn, 0) ELSE s.c <> w.c END THEN 'conversions'
+                         WHEN COALESCE(sg.fresh, 0) > 0 THEN 'new_goal' END AS reason
+                  FROM s LEFT JOIN w ON w.client = s.client AND w.dt = s.dt LEFT JOIN sg ON sg.client = s.client AND sg.dt = s.dt LEFT JOIN wg ON wg.client = s.client AND wg.dt = s.dt)
+       SELECT client, CAST(dt AS STRING) AS dt, reason FROM r WHERE reason IS NOT NULL""",
+)
+def q_visits_files_to_changes(spark, sf):
+    """Log and report files to visits, a part of them stored, and both sides compared by day and goal."""
+    folder = shared_dir(spark)
+    view(spark, sf, "vis_log").select(
+        "client", F.col("visit_id").alias("ym:s:visitID"), F.col("first_ts").alias("ym:s:dateTime"), F.col("duration").alias("ym:s:visitDuration"),
+        F.col("page_views").alias("ym:s:pageViews"), F.col("device").alias("ym:s:deviceCategory"), F.col("goals_id").alias("ym:s:goalsID"), F.col("goals_time").alias("ym:s:goalsDateTime"),
+    ).write.csv(f"{folder}/log", sep="\t", header=True)
+    view(spark, sf, "report").select("client", F.col("visit_id").alias("ym:s:visitID"), "pos", F.col("interest").alias("ym:s:interest"), F.col("gender").alias("ym:s:gender")).write.csv(
+        f"{folder}/report", sep="\t", header=True
+    )
+    logs, report = read_visit_parts(spark, f"{folder}/log", LOG_TYPES), read_visit_parts(spark, f"{folder}/report", REPORT_TYPES)
+    listed = goal_dimension(view(spark, sf, "goal_names"))
+    known = listed.where("goal_id <> 5").unionByName(spark.createDataFrame([("m_1", 99, "u")], listed.schema))
+    source = shape_visits(report, logs, listed, ["client", "visitID"], "pos")
+    house = Warehouse(spark, buckets=2)
+    stored = shape_visits(report, logs, known, ["client", "visitID"], "pos").where("pageViews <= 3")
+    house.write("visits", stored.withColumn("Date", F.to_date("dateTime")))
+    stored = house.read("visits", VISITS_START, VISITS_END)
+
+    def sides(visits):
+        rows = visits.withColumn("visits", F.lit(1))
+        return daily_visits(rows, VISITS_START, VISITS_END, date_col="dateTime"), goal_list_daily(visits, VISITS_START, VISITS_END, "goalsID")
+
+    return changed_days_visits(*sides(source), *sides(stored), goal_list=listed, known_goals=known)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..plans.reload import collapse_ranges
 from ..plans.warehouse import Warehouse
-from .ads import CHANGED_DAYS_ADS, _changes
+from .ads import CHANGED_DAYS_ADS, RANGES, _changes
 from .base import query, table, view
 
 LAYOUT = {"buckets": 2, "period": "year"}
@@ -112,3 +112,14 @@ def q_empty_goals(spark, sf):
     house.write("daily", daily)
     house.add_goal_columns("daily", ["conversions_99", "clicks"])
     return house.read("daily")
+
+
+@query(
+    "range_audit",
+    CHANGED_DAYS_ADS + RANGES + """
+          SELECT r.client, CAST(start_day AS STRING) AS "start", CAST(end_day AS STRING) AS "end",
+                 (SELECT COUNT(*) FROM {ads_wh} w WHERE w.client = r.client AND w.dt BETWEEN start_day AND end_day) AS removed,
+                 (SELECT COUNT(*) FROM {ads_src} s WHERE s.client = r.client AND s.dt BETWEEN start_day AND end_day) AS added FROM ranges r""",
+)
+def q_range_audit(spark, sf):
+    return _stored(spark, sf).audit("ads", _rows(spark, sf, "ads_src"), collapse_ranges(_changes(spark, sf)))

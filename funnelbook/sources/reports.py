@@ -55,16 +55,19 @@ def _read_tsv(spark: SparkSession, path: str | list[str], columns: Sequence[str]
     return rows.where(F.when(F.col(_BAD).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))).drop(_BAD)
 
 
-def read_report_tsv(spark: SparkSession, path: str | list[str], types: Mapping[str, str], *, micros: bool = False) -> DataFrame:
-    """Tab-separated report: ``--`` is 0, ``Date`` is a day, numbers are read leniently.
+def read_report_tsv(spark: SparkSession, path: str | list[str], types: Mapping[str, str], *, micros: bool = False, drop_bad_days: bool = False) -> DataFrame:
+    """Tab-separated report: ``--`` is 0, ``Date`` is a day, numbers are read leniently. Rows with an empty ``Date`` are dropped.
 
-    A row without a day fails the job, as a row of the wrong size does: both are what a cut file leaves. With ``micros`` the cost is in millionths (daily check reports).
+    A ``Date`` that is no day fails the job, as a row of the wrong size does: both are what a cut file leaves. With
+    ``drop_bad_days`` such rows are dropped instead. With ``micros`` the cost is in millionths (daily check reports).
     """
     raw = _read_tsv(spark, path, list(types))
     cleaned = raw.select(*[F.when(F.col(c) == "--", "0").otherwise(F.col(c)).alias(c) for c in raw.columns])
     if "Date" in types:
-        no_day = F.raise_error(F.concat(F.lit("no day: "), F.coalesce(F.col("Date"), F.lit("null")))).cast("date")
-        cleaned = cleaned.withColumn("Date", F.coalesce(parse_day(F.col("Date")), no_day))
+        cleaned = cleaned.where(F.coalesce("Date", F.lit("")) != "")
+        day = parse_day(F.col("Date"))
+        no_day = F.raise_error(F.concat(F.lit("no day: "), F.col("Date"))).cast("date")
+        cleaned = cleaned.where(day.isNotNull()).withColumn("Date", day) if drop_bad_days else cleaned.withColumn("Date", F.coalesce(day, no_day))
     out = cast_present(cleaned, {c: t for c, t in types.items() if t in ("bigint", "double") or t.startswith("decimal")})
     if micros and "Cost" in types:
         out = out.withColumn("Cost", micros_to_units(lenient_double(F.col("Cost"))))

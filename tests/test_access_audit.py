@@ -129,7 +129,7 @@ def test_report_file_and_profiles(spark):
     path = shared_dir(spark)
     lines = spark.createDataFrame([("2024-01-01", "c", "--", "1.5"), ("bad", "d", "1", "2")], "Date string, CampaignName string, Clicks string, Cost string")
     lines.write.csv(path, sep="\t", header=True)
-    out = read_report_tsv(spark, path, {c: LIGHT_TYPES[c] for c in lines.columns})
+    out = read_report_tsv(spark, path, {c: LIGHT_TYPES[c] for c in lines.columns}, drop_bad_days=True)
     assert out.collect() == [(date(2024, 1, 1), "c", 0, 1.5)]
     assert profile_project(out.withColumn("Extra", F.lit(1)).withColumn("Conversions_7", F.lit(1)), "light").columns == [
         "Date", "CampaignName", "Clicks", "Cost", "Conversions_7"
@@ -212,3 +212,21 @@ def test_stream_alerts_once(spark):
     more = [("1", "FAILED", datetime(2024, 1, 2), []), ("6", "FAILED", datetime(2024, 1, 2, 1), [])]
     spark.createDataFrame(more, RUNS).write.mode("append").parquet(f"{base}/in")
     assert run() == ["1", "2", "6"]
+    # days late, after newer runs were alerted: nothing is dropped, and a repeat gives no second alert
+    late = [("7", "FAILED", datetime(2024, 1, 1, 3), []), ("2", *[r[1:] for r in run_rows() if r[0] == "2"][0]), ("7", "FAILED", datetime(2024, 1, 1, 3), [])]
+    newer = [("8", "FAILED", datetime(2024, 3, 1), [])]
+    spark.createDataFrame(newer, RUNS).write.mode("append").parquet(f"{base}/in")
+    assert run() == ["1", "2", "6", "8"]
+    spark.createDataFrame(late, RUNS).write.mode("append").parquet(f"{base}/in")
+    assert run() == ["1", "2", "6", "7", "8"]
+    assert run() == ["1", "2", "6", "7", "8"]
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark):
+    base = shared_dir(spark)
+    runs = spark.createDataFrame(run_rows(), RUNS)
+    runs.write.parquet(f"{base}/in")
+    for attempt in ("first", "second"):  # the progress of the first is lost after its alerts were written
+        stream = spark.readStream.schema(runs.schema).parquet(f"{base}/in")
+        write_alerts(failed_run_stream(stream, datetime(2024, 1, 1)), f"{base}/out", f"{base}/{attempt}").awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(f"{base}/out").collect()) == ["1", "2"]
