@@ -42,6 +42,7 @@ def login_canonical(c: Column) -> Column:
 def sanitize_login(c: Column) -> tuple[Column, Column]:
     """(valid login, error code); exactly one of the two is non-null."""
     login = F.translate(F.coalesce(strip(c), F.lit("")), "_.", "--")
+    # The error codes.
     error = (
         F.when(login == "", "login_required")
         .when(login.rlike("^[0-9]+$"), "login_digits_only")
@@ -85,6 +86,7 @@ def url_domain(c: Column) -> Column:
 def mask_token(c: Column) -> Column:
     t = F.coalesce(strip(c), F.lit(""))
     n = F.length(t)
+    # The shapes of a mask by length.
     return (
         F.when(n == 0, "<empty>")
         .when(n <= 2, "***")

@@ -220,7 +220,7 @@ def q_users_delete(spark, sf):
 )
 def q_latest_role(spark, sf):
     users = table(spark, sf, "events").select(F.col("user_id").alias("id"), F.col("event_type").alias("role"), F.col("event_id").alias("version"))
-    return latest(users, "id", "version")
+    return latest(users, "id", "version", "role")
 
 
 @query(

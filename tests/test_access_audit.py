@@ -10,7 +10,7 @@ from funnelbook.operators.access import (
     upsert_access, with_legacy,
 )
 from funnelbook.operators.audit import cleanup_entries, failed, fan_out, newest_runs, stale_clients
-from funnelbook.operators.users import add_users, delete_users, users_by_role
+from funnelbook.operators.users import add_users, current_users, delete_users, users_by_role
 from funnelbook.session import shared_dir
 from funnelbook.sources.access_files import access_export, export_csv, read_access_file
 from funnelbook.sources.pages import zip_dims_metrics
@@ -230,3 +230,9 @@ def test_a_batch_that_runs_again_replaces_itself(spark):
         stream = spark.readStream.schema(runs.schema).parquet(f"{base}/in")
         write_alerts(failed_run_stream(stream, datetime(2024, 1, 1)), f"{base}/out", f"{base}/{attempt}").awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(f"{base}/out").collect()) == ["1", "2"]
+
+
+def test_equal_versions_have_one_winner(spark):
+    log = spark.createDataFrame([(1, "n", "user", 5), (1, "n", "admin", 5), (1, "m", "user", 5), (1, "z", "zz", 4)], "id bigint, name string, role string, version bigint")
+    for rows in (log, log.orderBy("role"), log.repartition(3)):
+        assert [tuple(r) for r in current_users(rows).collect()] == [(1, "n", "user")]
