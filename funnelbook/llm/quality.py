@@ -17,7 +17,7 @@ from .common import written
 
 #: Labelled documents that the classifier is fitted on at most: those with the smallest hashed ids.
 SAMPLE = 20_000
-FEATURES = 1 << 17
+FEATURES = 1 << 15
 #: Probability of "bad" above which a document is rejected.
 REJECT = 0.5
 _EPS = 1e-6
@@ -53,31 +53,30 @@ def _hashed() -> HashingTF:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Text and class (0 good, 1 low quality, 2 toxic) of at most ``sample`` labelled documents.
+    """Text and class (0 good, 1 low quality or toxic) of at most ``sample`` labelled documents.
 
     Labels of one id are united: the worst counts. Labels with both values null are none. The sampled labels are
     at most ``sample`` rows of two numbers, so they may go to every task.
     """
     one = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("doc_id IS NOT NULL AND (q IS NOT NULL OR t IS NOT NULL)")
-    kind = F.when(F.coalesce("t", F.lit(0)) > 0, 2).when(F.coalesce("q", F.lit(1)) < 1, 1).otherwise(0)
-    chosen = one.select("doc_id", kind.cast("double").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    bad = (F.coalesce("t", F.lit(0)) > 0) | (F.coalesce("q", F.lit(1)) < 1)
+    chosen = one.select("doc_id", bad.cast("double").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
 
 
 def evidence(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents with ``llr``: log-odds of bad against good from the text alone, without the base rate."""
     train = written(_hashed().transform(with_features(labelled(docs, labels, sample))).select("__features", "label"))
-    counts = {int(r["label"]): r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}  # three classes
-    good, bad = counts.get(0, 0), counts.get(1, 0) + counts.get(2, 0)
-    if not good or not bad:
+    bad, rows = train.agg(F.sum("label"), F.count("*")).first()  # two numbers
+    if not bad or bad == rows:
         return docs.withColumn("llr", F.lit(0.0))
     model = LogisticRegression(
         featuresCol="__features", labelCol="label", probabilityCol="__p", rawPredictionCol="__r", predictionCol="__k",
-        family="multinomial", regParam=0.02, maxIter=40,
+        family="binomial", regParam=0.02, maxIter=40,
     ).fit(train)
-    p = F.least(F.greatest(vector_to_array("__p")[0], F.lit(_EPS)), F.lit(1 - _EPS))
+    p = F.least(F.greatest(vector_to_array("__p")[1], F.lit(_EPS)), F.lit(1 - _EPS))
     scored = model.transform(_hashed().transform(with_features(docs)).drop("__words"))
-    return scored.withColumn("llr", F.log((1 - p) / p) - F.log(F.lit(bad / good))).drop("__features", "__p", "__r", "__k")
+    return scored.withColumn("llr", F.log(p / (1 - p)) - F.log(F.lit(bad / (rows - bad)))).drop("__features", "__p", "__r", "__k")
 
 
 def _strength(rates: DataFrame, rate: str, mean: str, n: str) -> DataFrame:
@@ -115,7 +114,7 @@ def judge(
 
     ``docs`` has doc_id, text and the columns named as ``host`` and ``path`` (whatever groups texts below a host: a
     directory, a section, a language). Null and empty texts are judged by their shape and site like any other; null hosts and
-    paths are a site of their own. Repeated rows each give a row and count each time. Without labels of both kinds the
+    paths are a site of their own. A document counts in the rate of its own site. Repeated rows each give a row and count each time. Without labels of both kinds the
     evidence is 0 and nothing is rejected unless its site says so, which it then cannot. Empty tables give no rows.
 
     Scores are written once to the shared folder; sites are summed in each task before the shuffle, so a host with a third
