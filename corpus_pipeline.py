@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelbook.llm import decontaminate, near_copies, quality, repeats, sentence_pieces
+from funnelbook.llm import decontaminate, quality, repeats, sentence_pieces, simhash
 from funnelbook.llm.common import table, written
 
 #: Columns of documents that every stage but the last returns. Further columns of the input are left out.
@@ -20,10 +20,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row, that with the smallest id (null last), of each group of near copies: five-word similarity of 0.8 or more."""
+    """One row of each group of linked fingerprints: that with the smallest id (null last), of several that with the smallest row number.
+
+    Fingerprints are of four-word shingles and link at four or fewer differing bits, as in op9. Rows are told apart by a number
+    of their own, so repeated rows and null ids are judged each by itself.
+    """
     rows = written(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()))
-    firsts = near_copies.firsts(rows.select(F.col("__row").alias("row"), F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")))
-    return rows.join(firsts.withColumnRenamed("row", "__row"), "__row", "left_semi").select(*COLUMNS)
+    linked = simhash.near_duplicates(rows.select("__row", "text"), distance=4, shingle=4, id_col="__row")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    firsts = linked.join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(F.min(place).getField("__row").alias("__row"))
+    return rows.join(firsts, "__row", "left_semi").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +46,8 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``lang``, ``source``, the piece ids of the text, their number, and whether decoding gives the text back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    both = sentence_pieces.decode(sentence_pieces.encode(docs.select(*COLUMNS), model), model)
-    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), sentence_pieces.SPACE, " ")
-    return both.select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_tokens"), same.alias("round_trip"))
+    coded = sentence_pieces.encode(docs.select(*COLUMNS), model, check="round_trip")
+    return coded.select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_tokens"), "round_trip")
 
 
 STAGES = [
