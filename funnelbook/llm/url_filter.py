@@ -1,14 +1,14 @@
 """URL filters: listed rules first, and for all other hosts trust and distrust spread over the link graph.
 
 Trust is personalised PageRank that starts at hosts whose rule allows them and follows links. Distrust starts at hosts whose rule
-blocks them and follows links backwards: who links to a blocked host shares its blame. Scores sum to 1, so distrust is turned into
-blocked pages (times their number) before it is held against a threshold: a host is blocked if its blame for each page of its
-own reaches the threshold, which does not depend on how large the rest of the table is, and if its share of all distrust
-exceeds its share of all trust. All of it is DataFrame code.
+blocks them and follows links backwards: who links to a blocked host shares its blame. Both are counted in pages, allowed and
+blocked ones, that walks bring to a host. A host is blocked if its distrust is more than its trust and reaches a threshold for each
+page of its own. Hosts that no walk connects have no part in it. All of it is DataFrame code.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +25,8 @@ RULES = (
 )
 #: The host of an absolute or protocol-relative address in an attribute.
 LINK = r"""(?i)\b(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
+#: Equal sums may differ by so much, as their parts are added in any order.
+_ROUNDING = 1e-9
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,37 +61,30 @@ def host_edges(pages: DataFrame, *, url_col: str = "url", html_col: str = "html"
     )
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 100) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, tolerance: float = 1e-3) -> DataFrame:
     """``kind``, ``host``, ``score`` of personalised PageRank; edges ``kind, src, dst, weight``, seeds ``kind, host, weight``.
 
-    Every kind is a graph of its own with restart weights that sum to 1. A host without links gives its score back to the
-    seeds. Each round is one join on the source and one aggregation by target, written to the shared folder; it
-    ends when all scores together move by less than ``tolerance``, which damping reaches within ``rounds``.
+    Every kind is a graph of its own with restart weights that sum to 1. The score is the sum of what walks from the seeds bring, a
+    step less likely by ``damping`` than the one before; a walk ends at a host without links. So scores are linear in the seeds, and
+    what other seeds and hosts the table holds changes the common scale only. Each round sends the walks on by one join on the
+    source and one aggregation by target, written to the shared folder; rounds end when no walk is left, or when each has
+    less than ``tolerance`` of its weight left, however large the table is.
     """
     share = F.col("weight") / F.sum("weight").over(_by("kind", "src"))
     shares = written(edges.select("kind", "src", "dst", share.alias("share")))
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("total"))
-    start = written(seeds.join(total, "kind").select("kind", "host", (F.col("weight") / F.col("total")).alias("score")))
-    ends = written(shares.select("kind", F.col("src").alias("host")).distinct())
-    score = start
-    for _ in range(rounds):
-        flow = (
-            score.join(shares, (score["kind"] == shares["kind"]) & (score["host"] == shares["src"]))
-            .select(score["kind"], F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("part"))
-        )
-        lost = score.join(ends, ["kind", "host"], "left_anti").groupBy("kind").agg(F.sum("score").alias("lost"))
-        back = start.join(lost, "kind", "left").select(
-            "kind", "host", (F.col("score") * (1 - damping + damping * F.coalesce("lost", F.lit(0.0)))).alias("part")
-        )
-        new = written(flow.unionByName(back).groupBy("kind", "host").agg(F.sum("part").alias("score")))
-        moved = (
-            new.unionByName(score.select("kind", "host", (-F.col("score")).alias("score")))
-            .groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("d")).agg(F.sum("d")).first()[0]
-        )
-        score = new
-        if (moved or 0.0) < tolerance:
+    flow = written(seeds.join(total, "kind").select("kind", "host", ((1 - damping) * F.col("weight") / F.col("total")).alias("score")))
+    score = flow
+    for k in range(1, math.ceil(math.log(tolerance) / math.log(damping)) + 1):
+        sent = flow.join(shares, (flow["kind"] == shares["kind"]) & (flow["host"] == shares["src"]))
+        sent = sent.select(flow["kind"], F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"))
+        flow = written(sent.groupBy("kind", "host").agg(F.sum("score").alias("score")))
+        if flow.isEmpty():
             break
-    return score
+        score = score.unionByName(flow)
+        if k % 8 == 0:
+            score = written(score.groupBy("kind", "host").agg(F.sum("score").alias("score")))
+    return score.groupBy("kind", "host").agg(F.sum("score").alias("score"))
 
 
 def _by(*columns: str):
@@ -103,8 +98,9 @@ def judge_hosts(
 ) -> DataFrame:
     """``host``, ``trust``, ``distrust``, ``verdict`` of every host in a seed or a link.
 
-    Seeds are the hosts of pages that a rule allows or blocks, weighted by the number of such pages. ``threshold`` is the blame, in
-    blocked pages, for each page of the host.
+    Seeds are the hosts of pages that a rule allows or blocks, weighted by the number of such pages. ``trust`` and ``distrust`` are the host's
+    own such pages and what walks from all of them bring, in allowed and in blocked pages, so they do not depend on hosts that no walk
+    connects. A host is blocked if its distrust is more than its trust and at least ``threshold`` blocked pages for each page of its own.
     """
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     ruled = lambda verdict: F.count(F.when(F.col("verdict") == verdict, 1)).cast("double")
@@ -115,17 +111,17 @@ def judge_hosts(
         .agg(F.count("*").alias("pages"), ruled("allow").alias("trust"), ruled("block").alias("distrust"))
     )
     seeds = sizes.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust) AS (kind, weight)")).where("weight > 0")
-    blocked = sizes.agg(F.sum("distrust")).first()[0] or 0.0  # one number
+    totals = sizes.agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")).first()  # two numbers
     edges = written(host_edges(pages, url_col=url_col, html_col=html_col))
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     )
     score = propagate(both, seeds)
-    part = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0))
-    sums = score.groupBy("host").agg(part("trust").alias("trust"), part("distrust").alias("distrust"))
-    blame = F.col("distrust") * blocked / F.coalesce("pages", F.lit(1))
-    bad = (blame >= threshold) & (F.col("distrust") > F.col("trust"))
-    sums = sums.join(sizes.select("host", "pages"), "host", "left")
+    part = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score") * (totals[kind] or 0.0)).otherwise(0.0)).alias(kind)
+    own = sizes.select("host", "pages", F.col("trust").alias("__t"), F.col("distrust").alias("__d"))
+    sums = score.groupBy("host").agg(part("trust"), part("distrust")).join(own, "host", "left")
+    sums = sums.withColumns({"trust": F.col("trust") + F.coalesce("__t", F.lit(0.0)), "distrust": F.col("distrust") + F.coalesce("__d", F.lit(0.0))})
+    bad = (F.col("distrust") >= threshold * F.coalesce("pages", F.lit(1))) & (F.col("distrust") > (1 + _ROUNDING) * F.col("trust"))
     return sums.select("host", "trust", "distrust", F.when(bad, "block").otherwise("allow").alias("verdict"))
 
 
