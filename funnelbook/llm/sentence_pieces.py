@@ -25,10 +25,15 @@ from sentencepiece import SentencePieceProcessor
 from .common import slices
 
 SPACE = "▁"
+#: States without a piece: anything may follow, or no path leads here.
+_FREE, _NONE = -1, -2
+_SHORT = (2, 1)
 #: Encoded strings that a task remembers at most; beyond it forgets all and goes on.
 REMEMBERED = 300_000
 PAIRS = 1_000_000
 LONG = 64
+#: Texts whose words are looked up together.
+ROWS = 1024
 
 
 class Transducer:
@@ -49,22 +54,25 @@ class Transducer:
         self.longest = max(map(len, self.id))
         if any(SPACE in p.lstrip(SPACE) for p in self.id) or len(self.bytes) != 256:
             raise ValueError("pieces must hold the space at their start only, and every byte must be a piece")
-        self.steps: dict[str, tuple[list[float], list[str], list[str]]] = {}
-        for p in self.id:
+        # states: the pieces that merging yields from their own characters
+        self.steps: dict[int, tuple[list[float], list[str], list[str]]] = {}
+        for p, i in self.id.items():
             parts, scores, firsts, lasts = self._merge(p)
             if len(parts) == 1:
-                self.steps[p] = ([*scores, float("-inf")], firsts, lasts)
-        self.reach: dict[str, int] = {}
-        for p in self.steps:
-            self.reach[p[-3:]] = max(self.reach.get(p[-3:], 0), len(p))
-        # signs that follow a letter or digit in no piece: text may be cut there
-        inner = {(p[k], p[k + 1]) for p in self.id for k in range(len(p) - 1)}
-        signs = {*map(chr, range(10, 127))} - {y for x, y in inner if x.isalnum()}
-        self.border = re.compile(f"(?<=[^\\W_])(?=[{re.escape(''.join(sorted(c for c in signs if not c.isalnum())))}])|(?<=[^{SPACE}])(?={SPACE})")
-        self.agrees: dict[tuple[str, str], bool] = {}
-        self.code = {p: np.int32(i).tobytes() for p, i in self.id.items()}
+                self.steps[i] = ([*scores, float("-inf")], firsts, lasts)
+        self.state = {p: i for p, i in self.id.items() if i in self.steps}
+        self.length = [len(t) for t in self.text]
+        # lengths of the pieces that end in three given characters, the longest first; shorter ones are always tried
+        ends: dict[str, set[int]] = {}
+        for p in self.state:
+            ends.setdefault(p[-3:], {1, 2}).add(len(p))
+        self.lengths = {tail: tuple(sorted(n, reverse=True)) for tail, n in ends.items() if len(tail) == 3}
+        self.agrees: dict[int, bool] = {}
+        self.code = [np.int32(i).tobytes() for i in range(self.size)]
         self.words: dict[str, bytes] = {}
         self.plain = [chr(self.byte_of[i]) if i in self.byte_of else "" if i in self.silent else self.text[i].replace(SPACE, " ") for i in range(self.size)]
+        self.decimal = [str(i) for i in range(self.size)]
+        self.is_byte = np.array([i in self.byte_of for i in range(self.size)])
         self.high = np.array([self.byte_of.get(i, 0) > 127 for i in range(self.size)])
 
     def _merge(self, text: str) -> tuple[list[str], list[float], list[str], list[str]]:
@@ -84,7 +92,7 @@ class Transducer:
             firsts.append(parts[0])
             lasts.append(parts[-1])
 
-    def _agree(self, a: str, b: str) -> bool:
+    def _agree(self, a: int, b: int) -> bool:
         """Weight of the arc from a to b, finite or not: whether the steps that make a and b go through before any pair
         across their border is the best."""
         (own, _, ends), (other, starts, _) = self.steps[a], self.steps[b]
@@ -104,7 +112,7 @@ class Transducer:
                 j += 1
         if len(self.agrees) >= PAIRS:
             self.agrees.clear()
-        self.agrees[a, b] = good
+        self.agrees[a * self.size + b] = good
         return good
 
     def learn(self, texts: set[str]) -> dict[str, bytes]:
@@ -115,9 +123,9 @@ class Transducer:
         order each text goes on from the states that it shares with the text before it.
         """
         made: dict[str, bytes] = {}
-        ends: list[str | None] = [""]
+        ends: list[int] = [_FREE]
         before = ""
-        agrees, steps, reach, ids, code = self.agrees, self.steps, self.reach, self.id, self.code
+        agrees, state, lengths, size, code = self.agrees, self.state, self.lengths, self.size, self.code
         for text in sorted(texts):
             same, most = 0, min(len(before), len(text))
             while same < most and before[same] == text[same]:
@@ -125,26 +133,24 @@ class Transducer:
             del ends[same + 1 :]
             before = text
             for at in range(same + 1, len(text) + 1):
-                start = max(0, at - reach.get(text[max(0, at - 3) : at], 2))
-                while start < at:
-                    piece = text[start:at]
-                    if piece in steps and (last := ends[start]) is not None:
-                        if not last:
-                            break
-                        ok = agrees.get((last, piece))
-                        if ok or ok is None and self._agree(last, piece):
-                            break
-                    start += 1
+                for n in lengths.get(text[at - 3 : at], _SHORT) if at > 2 else _SHORT[2 - at :]:
+                    if n > at or (piece := state.get(text[at - n : at])) is None or (last := ends[at - n]) == _NONE:
+                        continue
+                    if last == _FREE:
+                        break
+                    ok = agrees.get(last * size + piece)
+                    if ok or ok is None and self._agree(last, piece):
+                        break
                 else:
                     # a character of no piece goes to byte fallback, next to which nothing merges
-                    ends.append("" if text[at - 1] not in ids else None)
+                    ends.append(_FREE if text[at - 1] not in self.id else _NONE)
                     continue
                 ends.append(piece)
             out, at = [], len(text)
             while at:
                 piece = ends[at]
-                out.append(code[piece] if piece else self._fallback(text[at - 1]))
-                at -= len(piece) or 1
+                out.append(code[piece] if piece >= 0 else self._fallback(text[at - 1]))
+                at -= self.length[piece] if piece >= 0 else 1
             out.reverse()
             made[text] = b"".join(out)
         return made
@@ -153,20 +159,16 @@ class Transducer:
         return np.array([self.bytes[b] for b in character.encode()], dtype=np.int32).tobytes()
 
     def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text. No piece runs across a border, so the paths of the parts join to the path of the text."""
+        """Ids of each text. No piece runs across the border of a word, so the paths of the words join to the path of the text."""
         split = [_words(t) for t in texts]
         words = self.words
         new = set(itertools.chain.from_iterable(split)).difference(words)
-        parts = {w: self.border.split(w) for w in new}
-        known = self.learn(set(itertools.chain.from_iterable(parts.values())))
         if len(words) + len(new) > REMEMBERED:
             self.words = words = {w: words[w] for w in {w for t in split for w in t} if w in words}
-        for w, p in parts.items():
-            words[w] = b"".join([known[x] for x in p])
+        words.update(self.learn(new))
         made = [np.frombuffer(b"".join(map(words.__getitem__, t)), dtype=np.int32) for t in split]
-        if any(len(w) > LONG for w in new):
-            for w in [w for w in new if len(w) > LONG]:
-                del words[w]
+        for w in [w for w in new if len(w) > LONG]:
+            del words[w]
         return made
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -210,63 +212,89 @@ def _model(path: str) -> bytes:
         return f.read()  # one model file: its size is fixed and does not depend on the data
 
 
-def encode(docs: DataFrame, model: str, *, text_col: str = "text", into: str = "ids") -> DataFrame:
-    """All columns of ``docs`` and the piece ids of each whole text in ``into``.
+def _back(fst: Transducer, text: str | None, ids: np.ndarray) -> bool:
+    """Whether decoding gives the text back; U+2581 in it counts as a space."""
+    return fst.decode(ids) == (text or "").replace(SPACE, " ")
 
+
+def encode(docs: DataFrame, model: str, *, text_col: str = "text", into: str = "ids", check: str | None = None) -> DataFrame:
+    """All columns of ``docs`` and the piece ids of each whole text in ``into``, in one pass and without a shuffle.
+
+    ``check`` names a further column: whether decoding gives the text back. A column that has one of these names already is replaced.
     Null and empty texts give an empty list. U+2581 in a text counts as a space. Repeated rows each give a row, an
-    empty table none. ``into`` must not be a column already. No shuffle.
+    empty table none.
     """
-    if into in docs.columns:
-        raise ValueError(f"column {into} exists")
     shared = docs.sparkSession.sparkContext.broadcast(_model(model))
-    place = docs.columns.index(text_col)
+    added = {into: "array<int>"} | ({check: "boolean"} if check else {})
+    kept = docs.select(*[c for c in docs.columns if c not in added], F.col(text_col).cast("string").alias("__text"))
+    names = [*kept.columns[:-1], *added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = transducer(shared.value)
-        for batch in slices(batches, 512):
-            codes = fst.encode_all(batch.column(place).to_pylist())
+        for batch in slices(batches, ROWS):
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            codes = fst.encode_all(texts)
             ends = np.cumsum([0, *map(len, codes)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *codes])))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, into])
+            new = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *codes])))]
+            if check:
+                new.append(pa.array([_back(fst, t, c) for t, c in zip(texts, codes)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names=names)
 
-    return docs.mapInArrow(run, _with(docs, into, "array<int>"))
+    return kept.mapInArrow(run, _with(kept.drop("__text"), added))
 
 
 def decode(coded: DataFrame, model: str, *, ids_col: str = "ids", into: str = "decoded") -> DataFrame:
-    """All columns of ``coded`` and the text of each list of piece ids in ``into``; null and empty lists give ''."""
-    if into in coded.columns:
-        raise ValueError(f"column {into} exists")
+    """All columns of ``coded`` and the text of each list of piece ids in ``into``; null and empty lists give ''.
+
+    A column ``into`` that exists already is replaced.
+    """
     shared = coded.sparkSession.sparkContext.broadcast(_model(model))
-    place = coded.columns.index(ids_col)
+    kept = coded.select(*[c for c in coded.columns if c != into], F.col(ids_col).alias("__ids"))
+    names = [*kept.columns[:-1], into]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = transducer(shared.value)
         for batch in slices(batches, 256):
-            ids = batch.column(place)
+            ids = batch.column(batch.num_columns - 1)
             flat, at = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
             full = ids.is_valid().to_pylist()
             texts = pa.array([fst.decode(flat[a:b] if ok else flat[:0]) for a, b, ok in zip(at, at[1:], full)], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, into])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=names)
 
-    return coded.mapInArrow(run, _with(coded, into, "string"))
+    return kept.mapInArrow(run, _with(kept.drop("__ids"), {into: "string"}))
 
 
-def _with(df: DataFrame, name: str, kind: str):
+def _with(df: DataFrame, added: dict[str, str]):
     from pyspark.sql.types import StructType
 
-    return StructType([*df.schema.fields, *df.sparkSession.createDataFrame([], f"`{name}` {kind}").schema.fields])
+    more = df.sparkSession.createDataFrame([], ", ".join(f"`{name}` {kind}" for name, kind in added.items())).schema
+    return StructType([*df.schema.fields, *more.fields])
 
 
 def digest(docs: DataFrame, model: str) -> DataFrame:
-    """One row per document: tokens, byte-fallback tokens, digest of the ids, and whether decoding gives the text back."""
+    """One row per document: tokens, byte-fallback tokens, digest of the ids, and whether decoding gives the text back.
+
+    Ids are encoded, counted, hashed and decoded in one pass and never leave it.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_model(model))
     kept = docs.select("doc_id", F.col("text").cast("string").alias("__text"))
-    both = decode(encode(kept, model, text_col="__text", into="ids"), model, into="decoded")
-    text = F.translate(F.coalesce("__text", F.lit("")), SPACE, " ")
-    return both.select(
-        "doc_id",
-        F.octet_length(F.coalesce("__text", F.lit(""))).cast("long").alias("n_bytes"),
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.size(F.filter("ids", lambda i: i.between(3, 258))).cast("long").alias("n_byte_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        (F.col("decoded") == text).alias("round_trip"),
-    )
+    names = ["doc_id", "n_bytes", "n_tokens", "n_byte_tokens", "ids_sha256", "round_trip"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fst = transducer(shared.value)
+        for batch in slices(batches, ROWS):
+            texts = batch.column(1).to_pylist()
+            codes = fst.encode_all(texts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([len((t or "").encode()) for t in texts], pa.int64()),
+                    pa.array(map(len, codes), pa.int64()),
+                    pa.array([int(np.count_nonzero(fst.is_byte[c])) for c in codes], pa.int64()),
+                    pa.array([hashlib.sha256(",".join(map(fst.decimal.__getitem__, c.tolist())).encode()).hexdigest() for c in codes], pa.string()),
+                    pa.array([_back(fst, t, c) for t, c in zip(texts, codes)], pa.bool_()),
+                ],
+                names=names,
+            )
+
+    return kept.mapInArrow(run, f"doc_id {dict(kept.dtypes)['doc_id']}, n_bytes long, n_tokens long, n_byte_tokens long, ids_sha256 string, round_trip boolean")
