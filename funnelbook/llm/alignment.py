@@ -22,6 +22,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from .common import slices, written
 #: Ends of a piece, of a chunk (the pieces whose links are looked up together), and of what a task merges at once.
 PIECE = 1 << 16
 CHUNK = 1 << 21
-LOT = 1 << 18
+LOT = 1 << 17
 
 SPACE = "▁"
 # Fixed value: the pattern by which a byte-level tokenizer cuts words.
@@ -44,63 +45,18 @@ _OLD = "\x00-\u024f\u0370-\u0373\u0386-\u03ce\u0400-\u0481\u2000-\u206f\u20a0-\u
 _RARE = re.compile(f"[^{_OLD}]")
 
 
-class Tokenizers:
-    """Ids of both tokenizers for whole texts, and the bytes of each id.
+class Vocabularies(NamedTuple):
+    """What tasks need of both tokenizers: the files, the bytes of each id, and A's ranks if merging by rank is proven."""
 
-    A's vocabulary is merged by rank, which is several times faster than its own library. It is proven first that this gives the same: ids
-    come in the order of the merges, and every vocabulary string alone is merged to itself. A pair of tokens that stand side by
-    side and make a third one then is the pair of that one's merge, since the merges inside a stretch of text that none has crossed are those of the stretch
-    alone.
-    """
-
-    def __init__(self, spec: str, model: bytes):
-        form = json.loads(spec)
-        pre, merging = form["pre_tokenizer"] or {}, form["model"]
-        if form["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
-            raise ValueError("A must be a byte-level tokenizer that cuts words and adds no space")
-        self.own = Tokenizer.from_str(spec)
-        self.own.no_truncation()
-        self.own.no_padding()
-        self.own.encode_special_tokens = True  # their strings in a text are plain text
-        vocabulary, pairs = merging["vocab"], [m.split(" ") if isinstance(m, str) else m for m in merging["merges"]]
-        made = [vocabulary[a + b] for a, b in pairs]
-        alone = all([t.id for t in self.own.model.tokenize(w)] == [i] for w, i in vocabulary.items())
-        self.by_rank = None
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        byte = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(sorted({*range(256)} - {*printable}))}
-        raw = {w: bytes(byte[c] for c in w) for w in vocabulary if all(c in byte for c in w)}
-        special = {t["content"] for t in form["added_tokens"]}
-        if alone and all(x < y for x, y in zip(made, made[1:])) and all(c in vocabulary for c in byte):
-            ranks = {raw[w]: i for w, i in vocabulary.items() if w in raw and w not in special}
-            self.by_rank = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        every = self.own.get_vocab(with_added_tokens=True)
-        self.bytes_a = [b""] * (max(every.values()) + 1)
-        for token, i in every.items():
-            self.bytes_a[i] = raw.get(token, token.encode())
-        self.b = SentencePieceProcessor(model_proto=model)
-        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
-
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of space and text by A, of the text by B; both empty where the text is, or where the bytes of either differ."""
-        if not text:
-            return _NOTHING, _NOTHING
-        if self.by_rank is None or _RARE.search(text):
-            a = self.own.encode(f" {text}", add_special_tokens=False).ids
-        else:
-            a = self.by_rank.encode_ordinary(f" {text}")
-        b = self.b.encode(text)
-        raw = f" {text}".encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-            return _NOTHING, _NOTHING
-        return np.array(a, dtype=np.int32), np.array(b, dtype=np.int32)
+    spec: str
+    model: bytes
+    a: list[bytes]
+    b: list[bytes]
+    ranks: dict[bytes, int] | None
 
     @property
     def sizes(self) -> Sizes:
-        return Sizes(*(np.array([*map(len, x)], dtype=np.int64) for x in (self.bytes_a, self.bytes_b)))
-
-
-_NOTHING = np.zeros(0, dtype=np.int32)
+        return Sizes(*(np.array([*map(len, x)], dtype=np.int64) for x in (self.a, self.b)))
 
 
 class Sizes(NamedTuple):
@@ -109,12 +65,92 @@ class Sizes(NamedTuple):
     a: np.ndarray
     b: np.ndarray
 
+    @property
+    def kinds(self) -> tuple[type, type]:
+        """The narrowest numbers that hold the ids; in these they are stored."""
+        return tuple(np.uint16 if len(x) <= 1 << 16 else np.uint32 for x in self)
 
-@cache
-def _tokenizers(spec: str, model: bytes) -> Tokenizers:
-    """One for each worker process."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given this task one core
-    return Tokenizers(spec, model)
+
+def _library(spec: str) -> Tokenizer:
+    own = Tokenizer.from_str(spec)
+    own.no_truncation()
+    own.no_padding()
+    own.encode_special_tokens = True  # their strings in a text are plain text
+    return own
+
+
+def vocabularies(spec: str, model: bytes) -> Vocabularies:
+    """Both files read and checked.
+
+    A's vocabulary is merged by rank, which is several times faster than its own library. It is proven first that this gives the
+    same: ids come in the order of the merges, and every vocabulary string alone is merged to itself. A pair of tokens that
+    stand side by side and make a third one is then the pair of that one's merge, since the merges inside a stretch that
+    none has crossed are those of the stretch alone.
+    """
+    form = json.loads(spec)
+    pre, merging = form["pre_tokenizer"] or {}, form["model"]
+    if form["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
+        raise ValueError("A must be a byte-level tokenizer that cuts words and adds no space")
+    own = _library(spec)
+    vocabulary, pairs = merging["vocab"], [m.split(" ") if isinstance(m, str) else m for m in merging["merges"]]
+    made = [vocabulary[a + b] for a, b in pairs]
+    alone = all([t.id for t in own.model.tokenize(w)] == [i] for w, i in vocabulary.items())
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(sorted({*range(256)} - {*printable}))}
+    raw = {w: bytes(byte[c] for c in w) for w in vocabulary if all(c in byte for c in w)}
+    special = {t["content"] for t in form["added_tokens"]}
+    proven = alone and all(x < y for x, y in zip(made, made[1:])) and all(c in vocabulary for c in byte)
+    ranks = {raw[w]: i for w, i in vocabulary.items() if w in raw and w not in special} if proven else None
+    every = own.get_vocab(with_added_tokens=True)
+    bytes_a = [b""] * (max(every.values()) + 1)
+    for token, i in every.items():
+        bytes_a[i] = raw.get(token, token.encode())
+    other = SentencePieceProcessor(model_proto=model)
+    pieces = [other.id_to_piece(i) for i in range(other.get_piece_size())]
+    bytes_b = [bytes([int(p[3:5], 16)]) if other.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
+    return Vocabularies(spec, model, bytes_a, bytes_b, ranks)
+
+
+class Encoder:
+    """Ids of both tokenizers for whole texts, in a worker process."""
+
+    def __init__(self, v: Vocabularies):
+        self.v = v
+        self.by_rank = v.ranks and tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=v.ranks, special_tokens={})
+        self.b = SentencePieceProcessor(model_proto=v.model)
+        self.kinds = v.sizes.kinds
+        self._own: Tokenizer | None = None
+
+    def _by_library(self, text: str) -> list[int]:
+        if self._own is None:  # few texts need it
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given this task one core
+            self._own = _library(self.v.spec)
+        return self._own.encode(text, add_special_tokens=False).ids
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of space and text by A, of the text by B; both empty where the text is, or where the bytes of either differ."""
+        a: list[int] = []
+        b: list[int] = []
+        if text:
+            spaced = f" {text}"
+            a = self._by_library(spaced) if self.by_rank is None or _RARE.search(text) else self.by_rank.encode_ordinary(spaced)
+            b = self.b.encode(text)
+            raw = spaced.encode()
+            if b"".join(map(self.v.a.__getitem__, a)) != raw or b"".join(map(self.v.b.__getitem__, b)) != raw:
+                a, b = [], []
+        return np.array(a, dtype=self.kinds[0]), np.array(b, dtype=self.kinds[1])
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(v: Vocabularies) -> Encoder:
+    """One for each worker process; it serves the next task too."""
+    key = hashlib.sha256(v.spec.encode() + v.model).hexdigest()
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(v)
+    return _ENCODERS[key]
 
 
 def diagonal(a: np.ndarray, b: np.ndarray, d: int) -> int:
@@ -140,21 +176,21 @@ def cut_pieces(a: np.ndarray, b: np.ndarray, work: int) -> list[tuple[int, int,
 _PIECE = "chunk long, row long, {id} {kind}, piece int, pieces int, from_a long, from_b long, n_a int, n_b int, a binary, b binary"
 
 
-def pieces(docs: DataFrame, spec: str, model: bytes, *, work: int = PIECE, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, v: Vocabularies, *, work: int = PIECE, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pieces of every row of ``docs``, one at least.
 
-    ``from_a`` and ``from_b``: bytes before the piece's first token of either. ``a`` and ``b``: ids as 32-bit numbers, ``n_a`` and
+    ``from_a`` and ``from_b``: bytes before the piece's first token of either. ``a`` and ``b``: ids in the numbers of ``Sizes.kinds``, packed, ``n_a`` and
     ``n_b`` own ones and, but in a text's last piece, the one that follows. ``row`` tells rows apart, ``chunk`` deals pieces to lots of some
     ``chunk`` ends. Both are numbers of the task that makes them, so the result must be written before it is read twice.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((spec, model))
+    shared = docs.sparkSession.sparkContext.broadcast(v)
     kept = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
     names = ["chunk", "row", id_col, "piece", "pieces", "from_a", "from_b", "n_a", "n_b", "a", "b"]
     kinds = [pa.int64(), pa.int64(), None, pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = _tokenizers(*shared.value)
-        sizes = both.sizes
+        both, sizes = _encoder(shared.value), shared.value.sizes
+        pack = zstandard.ZstdCompressor(level=1).compress
         lot = row = TaskContext.get().partitionId() << 32
         held = 0
         for batch in slices(batches, 256):
@@ -169,7 +205,7 @@ def pieces(docs: DataFrame, spec: str, model: bytes, *, work: int = PIECE, chunk
                     ends, cuts = (), [(0, len(a), 0, len(b))]
                 for k, (i, j, m, n) in enumerate(cuts):
                     before = [int(e[x - 1]) if x else 0 for e, x in zip(ends, (i, m))] or [0, 0]
-                    new = (lot, row, place, k, len(cuts), *before, j - i, n - m, a[i : j + 1].tobytes(), b[m : n + 1].tobytes())
+                    new = (lot, row, place, k, len(cuts), *before, j - i, n - m, pack(a[i : j + 1].tobytes()), pack(b[m : n + 1].tobytes()))
                     for column, value in zip(out, new):
                         column.append(value)
                     held += 16 + j - i + n - m  # empty texts count too
@@ -187,8 +223,9 @@ class Merged:
 
     def __init__(self, length: Sizes, from_a: np.ndarray, from_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, a: list[bytes], b: list[bytes]):
         count = len(a)
-        self.a, self.b = (np.frombuffer(b"".join(x), dtype=np.int32) for x in (a, b))
-        sizes = [np.array([len(x) // 4 for x in side], dtype=np.int64) for side in (a, b)]
+        kinds = length.kinds
+        self.a, self.b = (np.frombuffer(b"".join(x), dtype=kind) for x, kind in zip((a, b), kinds))
+        sizes = [np.array([len(x) // kind().itemsize for x in side], dtype=np.int64) for side, kind in zip((a, b), kinds)]
         sums = [np.concatenate([[0], np.cumsum(n[ids])]) for n, ids in zip(length, (self.a, self.b))]
         bounds = [np.concatenate([[0], np.cumsum(s)]) for s in sizes]
         spans = np.maximum(*(start + total[at[1:]] - total[at[:-1]] for start, total, at in zip((from_a, from_b), sums, bounds))) + 1
@@ -209,7 +246,7 @@ class Merged:
         tie |= here == self.start_a[owner[1][at_b]]  # A's token with this end is in the piece before
         alone = ~tie
         self.piece = np.concatenate([owner[0][at_a], owner[1][at_b][alone]])
-        self.pair = self.a[np.concatenate([at_a, under[alone]])].astype(np.int64) << 32 | self.b[np.concatenate([over, at_b[alone]])]
+        self.pair = self.a[np.concatenate([at_a, under[alone]])].astype(np.int64) << 32 | self.b[np.concatenate([over, at_b[alone]])].astype(np.int64)
         cuts = here[tie]
         self.groups = np.bincount(owner[1][at_b][tie], minlength=count)
         self.own_a, self.own_b = at_a, at_b
@@ -280,7 +317,8 @@ def _lots(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
 
 def _merged(length: Sizes, batch: pa.RecordBatch) -> Merged:
     numbers = (batch.column(c).to_numpy() for c in ("from_a", "from_b", "n_a", "n_b"))
-    return Merged(length, *numbers, batch.column("a").to_pylist(), batch.column("b").to_pylist())
+    unpack = zstandard.ZstdDecompressor().decompress
+    return Merged(length, *numbers, *([unpack(x) for x in batch.column(c).to_pylist()] for c in "ab"))
 
 
 def links(cut: DataFrame, length: Sizes) -> DataFrame:
@@ -307,7 +345,7 @@ def links(cut: DataFrame, length: Sizes) -> DataFrame:
                 for k in np.unique(chunk).tolist():
                     held.setdefault(k, []).append(np.unique(m.pair[chunk[m.piece] == k], return_counts=True))
                     waiting += len(held[k][-1][0])
-                if len(held) > 1 or waiting > 8 * LOT:  # a chunk's pieces lie one after another
+                if len(held) > 1 or waiting > 16 * LOT:  # a chunk's pieces lie one after another
                     yield from summed()
                     waiting = 0
         yield from summed()
@@ -408,8 +446,9 @@ def align(
     """
     with open(a, encoding="utf-8") as f, open(b, "rb") as g:
         spec, model = f.read(), g.read()  # two vocabulary files: their size is fixed and does not depend on the data
-    length = _tokenizers(spec, model).sizes
-    cut = written(pieces(docs, spec, model, work=work, chunk=chunk, id_col=id_col, text_col=text_col))
+    v = vocabularies(spec, model)
+    length = v.sizes
+    cut = written(pieces(docs, v, work=work, chunk=chunk, id_col=id_col, text_col=text_col))
     found = written(links(cut, length))
     counts = written(found.groupBy("pair").agg(F.sum("n").alias("total")).withColumn("b", F.col("pair").bitwiseAND((1 << 32) - 1)))
     highest = counts.groupBy("b").agg(F.max("total").alias("most"))
