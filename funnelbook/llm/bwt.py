@@ -3,8 +3,8 @@
 Each shard is a collection of byte strings with a terminator of its own after each. Its transform comes from its sorted
 suffixes. Merging never compares suffixes of different shards: starting from the shards one after another, each round
 takes the merged order by the first h symbols to that by the first h + 1, by sending every row to the place of the suffix one
-symbol longer. Where two neighbouring rows part at round h, their common prefix has h - 1 symbols, so the rounds yield the
-common prefixes up to the wanted length, and the rows that never part are the repeated intervals.
+symbol longer, which its own shard's transform tells. A row that is alone in its interval stays alone however long its suffix gets, so it leaves
+the rounds; rows that leave in round h share h - 1 symbols with a neighbour, and those that never leave are the repeated intervals.
 """
 
 from __future__ import annotations
@@ -33,36 +33,31 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         step *= 2
 
 
-def merge(orders: list[np.ndarray], transforms: list[np.ndarray], n_strings: list[int], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(position in the joined shards of each row of the merged order, interval of each row).
+def merge(orders: list[np.ndarray], transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position in the joined shards, interval) of the rows that agree with another in their first ``depth`` symbols, in merged order.
 
-    Rows of one interval agree in their first ``depth`` symbols; a row that meets a terminator earlier is alone in its own.
+    A row that meets a terminator earlier agrees with none.
     """
     offsets = np.cumsum([0, *map(len, orders)])
     symbols = np.concatenate(transforms)
     if symbols.max(initial=0) < 256:  # always so for UTF-8, which has no byte 255
         symbols = symbols.astype(np.uint8)
-    kind = np.uint8 if len(orders) <= 256 else np.uint16
-    source = np.repeat(np.arange(len(orders)), np.diff(offsets)).astype(kind)
-    ends = np.repeat(np.arange(len(orders)), n_strings).astype(kind)
-    k, n = len(ends), len(source)
-    alone = np.arange(k, dtype=np.int32)
-    interval = np.zeros(n, dtype=np.int32)
+    longer = np.empty(len(symbols), dtype=np.int32)
+    for t, at in zip(transforms, offsets.tolist()):
+        longer[at + np.argsort(t, kind="stable")] = at + np.arange(len(t), dtype=np.int32)
+    row = np.arange(len(symbols), dtype=np.int32)
+    interval = np.zeros(len(symbols), dtype=np.int32)
     for _ in range(depth):
-        row_of = np.argsort(source, kind="stable")
-        before = np.empty(n, dtype=symbols.dtype)
-        before[row_of] = symbols
-        sent = np.argsort(before, kind="stable")[k:]  # rows before a terminator lead to its own row, which stays in place
+        before = symbols[row]
+        sent = np.argsort(before, kind="stable")[np.count_nonzero(before == 0):]  # a terminator before a row ends its suffixes
         first, rest = before[sent], interval[sent]
-        parts = np.empty(len(sent), dtype=bool)
-        parts[:1] = True
-        np.not_equal(first[1:], first[:-1], out=parts[1:])
-        parts[1:] |= rest[1:] != rest[:-1]
-        source = np.concatenate([ends, source[sent]])
-        interval = np.concatenate([alone, np.int32(k - 1) + np.cumsum(parts, dtype=np.int32)])
-    place = np.empty(n, dtype=np.int64)
-    place[np.argsort(source, kind="stable")] = np.concatenate([o + at for o, at in zip(orders, offsets)])
-    return place, interval
+        begins = np.ones(len(sent) + 1, dtype=bool)
+        np.not_equal(first[1:], first[:-1], out=begins[1:-1])
+        begins[1:-1] |= rest[1:] != rest[:-1]
+        shared = ~(begins[:-1] & begins[1:])
+        row = longer[row[sent[shared]]]
+        interval = np.cumsum(begins[:-1], dtype=np.int32)[shared]
+    return np.concatenate([o + at for o, at in zip(orders, offsets)])[row], interval
 
 
 def repeated(strings: list[bytes], depth: int, shard_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,10 +71,7 @@ def repeated(strings: list[bytes], depth: int, shard_bytes: int) -> tuple[np.nda
         shards[-1].append(s)
         held += len(s) + 1
     made = [transform(s) for s in shards]
-    place, interval = merge([o for o, _ in made], [t for _, t in made], [len(s) for s in shards], depth)
-    same = interval[1:] == interval[:-1]
-    many = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-    place, interval = place[many], interval[many]
+    place, interval = merge([o for o, _ in made], [t for _, t in made], depth)
     starts = np.cumsum([0, *(len(s) + 1 for s in strings)])
     string = np.searchsorted(starts, place, side="right") - 1
     return string, place - starts[string], interval
