@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 from .common import written
 
-#: Records of one archive file at most, and captures of one range of the index on average.
+#: Records of one archive file at most if none has more bytes than ``SMALL``; twice the bytes, half the records. So a file has 256 MB, or one record.
 FILE_RECORDS = 2_000
+SMALL = 1 << 17
+#: Captures of one range of the index on average.
 RANGE_CAPTURES = 50_000
 _RECORD = "WARC/1.1"
 _END = "\r\n\r\n"
@@ -57,14 +59,15 @@ def records(pages: DataFrame, *, least_bytes: int = 0, id_col: str = "page_id",
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(_END))
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("body")))
-    target = F.url_encode(F.col("url"))  # a field must stay on one line
+    exact = F.url_encode(F.col("url"))  # a field must stay on one line
     head = F.concat(
         F.lit(f"{_RECORD}\r\nWARC-Type: "), F.when(revisit, "revisit").otherwise("response"), F.lit("\r\n"),
         line("WARC-Record-ID", _uuid(F.coalesce("id", F.lit(-1)), F.col("url"))),
         line("WARC-Date", F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
-        line("WARC-Target-URI", target),
+        line("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x20\x7F]", "")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         line("X-Payload-Length", F.col("bytes").cast("string")),
+        line("X-Page-URL", exact),
         line("X-Page-ID", F.coalesce(F.col("id").cast("string"), F.lit(""))),
         F.when(
             revisit,
@@ -78,9 +81,18 @@ def records(pages: DataFrame, *, least_bytes: int = 0, id_col: str = "page_id",
     return rows.select(F.concat(head, block).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, **columns) -> None:
-    """WARC files below ``path``, gzipped, each of at most ``FILE_RECORDS`` records. Spark's own writer puts the blank line after each."""
-    records(pages, **columns).write.option("lineSep", _END).option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(path)
+def write_archives(pages: DataFrame, path: str, *, html_col: str = "html", **columns) -> None:
+    """WARC files below ``path``, gzipped, each of a bounded number of bytes. Spark's own writer puts the blank line after each record.
+
+    Pages are written by classes of payload size, each with its own number of records in a file. Equal payloads are in one class, so
+    each class finds its own first copies; there are as many classes as a payload's size has doublings.
+    """
+    size = F.octet_length(F.coalesce(F.col(html_col).cast("string"), F.lit("")))
+    kind = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(size, F.lit(1)) / F.lit(SMALL))).cast("int"))
+    found = sorted(r[0] for r in pages.select(kind).distinct().collect())  # some dozen numbers
+    for k in found or [0]:
+        rows = records(pages.where(kind == k) if len(found) > 1 else pages, html_col=html_col, **columns)
+        rows.write.mode("append").option("lineSep", _END).option("maxRecordsPerFile", max(1, FILE_RECORDS >> k)).option("compression", "gzip").text(path)
 
 
 def url_key(url: str) -> str:
@@ -135,7 +147,7 @@ def read_archives(files: DataFrame) -> DataFrame:
                         payload = block[block.index(_END.encode()) + 4 :]
                         if (len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()) != (number, digest):
                             raise ValueError(f"{path}: payload at byte {offset} differs from its record")
-                    url = unquote_plus(fields["WARC-Target-URI"])
+                    url = unquote_plus(fields["X-Page-URL"])
                     own, first = fields["X-Page-ID"], fields.get("X-Refers-To-Page-ID", "")
                     rows.append((url_key(url), fields["WARC-Date"], int(own) if own else None, url, fields["WARC-Type"], int(first) if first else None, number, digest, path, offset, length))
                 rows.sort(key=_order)
