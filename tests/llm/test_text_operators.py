@@ -6,6 +6,7 @@ import re
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
@@ -170,9 +171,56 @@ def test_quality_holds_out(spark, docs, sf):
     assert none.where("rejected").count() == 0 and none.count() == 3
 
 
+WRAPPED = "\n".join(re.sub("(.{1,60})( |$)", "\\1\n", t).strip() for t in licenses.TEXTS["mit"])
+
+
 def test_licenses(spark):
     texts = ["Plain words here.\nReleased under the MIT License.\n\nMore.", "Licensed under CC BY-NC 4.0.", "", None, "All rights reserved.", "Licensed under the Zebra Deed of 1812."]
     got = {r["doc_id"]: r for r in licenses.scan(docs_of(spark, texts)).collect()}
     assert [got[i]["families"] for i in range(6)] == [["mit"], ["cc-by-nc"], [], [], ["all-rights-reserved"], ["unknown"]]
-    assert got[0]["licenses"][0]["number"] == 1 and got[0]["n_paragraphs"] == 3
+    assert (got[0]["licenses"][0]["paragraph"], got[0]["licenses"][0]["line"]) == (0, 1) and [got[i]["n_paragraphs"] for i in range(4)] == [2, 1, 0, 0]
     assert licenses.scan(docs_of(spark, [])).count() == 0
+
+
+def test_license_bodies_and_other_talk_of_licences(spark):
+    bodies = {f: [t for t in licenses.TEXTS[f]] for f in ("mit", "bsd", "apache-2.0", "gpl")}
+    texts = [t for f in bodies for t in bodies[f]] + ["Some words before.\n\n" + WRAPPED + "\n\nSome words after.", "It is under the terms of the GNU General\nPublic License as it stands.", *licenses.OTHER]
+    texts += ["He told the story of a driving license in the year 1950. " * 3, "word " * 20_000 + "\nLicensed under the Apache License, Version 2.0.\n" + "word " * 20_000]
+    got = [r["families"] for r in licenses.scan(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    names = [f for f in bodies for _ in bodies[f]]
+    assert got[: len(names)] == [[f] for f in names]
+    at = len(names)
+    assert got[at] == ["mit"] and got[at + 1] == ["gpl"]
+    assert got[at + 2 : at + 2 + len(licenses.OTHER)] == [[]] * len(licenses.OTHER)
+    assert got[-2] == [] and got[-1] == ["apache-2.0"]
+
+
+def test_license_hits_come_back_to_their_rows(spark):
+    rows = [(None if k % 10 == 9 else k % 50, f"text number {k}" + (". Released under the MIT License." if k % 3 == 0 else "."), k) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int").withColumn("licenses", F.lit(1)).repartition(16).repartition(16, F.rand())
+    got = sorted((str(r["doc_id"]), [h["text"] for h in r["licenses"]]) for r in licenses.scan(docs).collect())
+    assert got == sorted((str(d), [t] if "MIT" in t else []) for d, t, _ in rows)
+
+
+def test_paragraphs_left_out_hold_no_licence(spark, docs):
+    """What the strong words leave out is "none" by the scores as well."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").alias("__text"))
+    blocks = licenses.paragraphs(rows)
+    model = licenses.Model(spark, licenses.units(blocks).select("unit.text"))
+    assert model.strong and not {"the", "of", "and"} & set(model.strong)
+    out = blocks.join(model.likely(blocks).select("row", "paragraph"), ["row", "paragraph"], "left_anti")
+    left = licenses.units(out).select("row", "unit", F.col("unit.text").alias("text"))
+    assert left.count() > 100 and model.classify(left, ["row", "unit"]).count() == 0
+
+
+def test_license_scores_against_plain_sums(spark):
+    """The scores of the pipeline are those of a plain reading of the fitted weights."""
+    texts = ["Licensed under the Apache License, Version 2.0.", "nothing of the kind", "the rights to use, copy, modify", "Released under the ISC license"]
+    docs = docs_of(spark, texts)
+    model = licenses.Model(spark, docs.select("text"))
+    keep = ["doc_id", "text"]
+    got = {r["doc_id"]: r["raw"] for r in model._scored(model._featured(docs.select(*keep), keep), keep).collect()}
+    weights, bias = model.model.coefficientMatrix.toArray(), model.model.interceptVector.toArray()
+    for i, t in enumerate(texts):
+        held = [k for k, g in enumerate(model.vocabulary) if g in set(licenses._grams(t))]
+        assert all(abs(x - y) < 1e-6 for x, y in zip(got[i], bias + weights[:, held].sum(axis=1)))
