@@ -32,6 +32,29 @@ def test_archive_edges(spark, monkeypatch):
     assert warc.archive(pages.limit(0)).count() == 0
 
 
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    import gzip
+    import pathlib
+
+    from funnelbook.session import shared_dir
+
+    monkeypatch.setattr(warc, "SMALL", 100)
+    monkeypatch.setattr(warc, "FILE_RECORDS", 8)
+    rows = [(k, f"http://a.org/{k}\r\n x", "s" * (k % 90)) for k in range(60)] + [(100 + k, "http://b.org/", f"{k % 3}" * 350) for k in range(9)] + [(200, None, "é" * 5000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = shared_dir(spark)
+    warc.write_archives(pages.coalesce(1), path)
+    found = [[(f, len(b)) for f, b, _, _ in warc.parse(gzip.decompress(p.read_bytes()))] for p in pathlib.Path(path).glob("*.gz")]
+    assert sum(map(len, found)) == len(rows)
+    for records in found:
+        most = max(int(f["X-Payload-Length"]) for f, _ in records)
+        assert len(records) == 1 or len(records) * most <= 8 * 100 * 2
+        assert all("\n" not in f["WARC-Target-URI"] and not f["WARC-Target-URI"].startswith("http%3A") for f, _ in records)
+    got = {r["page_id"]: (r["url"], r["record_type"], r["refers_to"]) for r in warc.archive(pages).collect()}
+    assert got.keys() == {r[0] for r in rows} and all(got[i][0] == (u or "") for i, u, _ in rows)
+    assert got[103] == ("http://b.org/", "revisit", 100) and got[200][1] == "response"
+
+
 def test_loser_tree():
     rng = random.Random(4)
     for k in range(0, 9):
