@@ -41,19 +41,28 @@ def interval_plan(ranges: DataFrame, key: str = "client") -> DataFrame:
     """One row per client with ``ranges``, its (start, end) in order; ranges that share a day are joined.
 
     A client has at most as many ranges as its window has days, so the list fits its row. Null clients are a client of their
-    own; ranges without both days, or that end before they start, are skipped.
+    own; ranges without both days, or that end before they start, are skipped. ``__steps`` are the powers of two up to the number of
+    ranges, largest first: the strides in which ``range_of`` searches them.
     """
     w = Window.partitionBy(key).orderBy("start", "end")
     reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.when(reach.isNull() | (F.col("start") > reach), 1).otherwise(0)
     marked = ranges.where(F.col("start") <= F.col("end")).select(key, "start", "end").distinct().withColumn("__new", fresh)
     joined = marked.withColumn("__run", F.sum("__new").over(w)).groupBy(key, "__run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    return joined.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ranges"))
+    lists = joined.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ranges"))
+    highest = F.length(F.bin(F.size("ranges"))) - 1
+    return lists.withColumn("__steps", F.transform(F.sequence(highest, F.lit(0), F.lit(-1)), lambda k: F.power(F.lit(2), k).cast("int")))
 
 
 def range_of(day: Column) -> Column:
-    """The range of the plan row that holds the day, null outside of all."""
-    return F.get(F.filter("ranges", lambda r: day.between(r["start"], r["end"])), F.lit(0))
+    """The range of the plan row that holds the day, null outside of all.
+
+    The ranges are in order and share no day, so the last one that starts by the day is found by halving: a row costs the logarithm
+    of its client's number of ranges.
+    """
+    begun = F.aggregate("__steps", F.lit(0), lambda n, step: F.when(F.get("ranges", n + step - 1)["start"] <= day, n + step).otherwise(n))
+    last = F.get("ranges", begun - 1)
+    return F.when(day <= last["end"], last)
 
 
 def range_audit(plan: DataFrame, stored: DataFrame, new: DataFrame, key: str = "client", day: str = "Date") -> DataFrame:

@@ -248,11 +248,13 @@ class Warehouse:
         return F.broadcast(plan) if size <= SMALL_PLAN else plan
 
     def _in_plan(self, rows: DataFrame, plan: DataFrame, inside: bool = True) -> DataFrame:
-        """Rows on planned days, or those on no planned day."""
+        """Rows on planned days, or those on no planned day.
+
+        The day is tested in the join itself, so no row carries its client's list of ranges.
+        """
         there = plan.withColumnRenamed("client", "__client")
-        both = rows.join(there, F.col("client").eqNullSafe(F.col("__client")), "inner" if inside else "left")
-        planned = F.coalesce(F.col("ranges").isNotNull() & range_of(F.to_date("Date")).isNotNull(), F.lit(False))
-        return both.where(planned if inside else ~planned).drop("__client", "ranges")
+        planned = F.col("client").eqNullSafe(F.col("__client")) & range_of(F.to_date("Date")).isNotNull()
+        return rows.join(there, planned, "left_semi" if inside else "left_anti")
 
     def _touched(self, table: str, plan: DataFrame) -> list[str]:
         """Partitions of the table that hold planned days: a subset of its layout.

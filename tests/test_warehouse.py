@@ -257,3 +257,29 @@ def test_cleanup_reads_the_buckets_of_the_clients(spark):
     assert house.cleanup_clients(rows(spark, [("c3",), (None,)], "client string"), ["t"]) == 1
     after = set(spark.table(f"{house.schema}.t").inputFiles())
     assert len(before - after) == 1 and sorted(r.client for r in house.read("t").collect()) == sorted(set(names) - {"c3"})
+
+
+def test_planned_days_are_found_by_halving(spark, house):
+    from datetime import timedelta
+
+    from pyspark.sql import functions as F
+
+    from funnelbook.plans.reload import interval_plan, range_of
+
+    start = d(1, 1)
+    spans = {c: [(start + timedelta(3 * k), start + timedelta(3 * k + k % 2)) for k in range(n)] for c, n in ((None, 1), ("a", 2), ("b", 7), ("c", 8), ("d", 100))}
+    plan = interval_plan(ranges(spark, [(c, *s) for c, of in spans.items() for s in of] * 2))
+    days = [start + timedelta(k) for k in range(-2, 310)] + [None]
+    data = [(c, day, 0) for c in [*spans, "e"] for day in days]
+    both = rows(spark, data).withColumnRenamed("client", "c").join(plan, F.col("c").eqNullSafe(F.col("client")))
+    got = {(r.c, r.Date): r.r for r in both.select("c", "Date", range_of(F.col("Date")).alias("r")).collect()}
+    want = {(c, day): next((s for s in spans[c] if day and s[0] <= day <= s[1]), None) for c in spans for day in days}
+    assert {k: v and (v.start, v.end) for k, v in got.items()} == want
+    # a row is tested in as many strides as its client's number of ranges has binary digits
+    assert {r.client: r.n for r in plan.select("client", F.size("__steps").alias("n")).collect()} == {None: 1, "a": 2, "b": 3, "c": 4, "d": 7}
+    inside = {(r.client, r.Date) for r in house._in_plan(rows(spark, data), plan).collect()}
+    outside = house._in_plan(rows(spark, data), plan, inside=False)
+    assert inside == {k for k, v in want.items() if v}
+    assert {(r.client, r.Date) for r in outside.collect()} == {(c, day) for c, day, _ in data} - inside
+    # the lists stay in the join
+    assert "LeftAnti" in outside._jdf.queryExecution().executedPlan().toString()
