@@ -73,7 +73,7 @@ def range_audit(plan: DataFrame, stored: DataFrame, new: DataFrame, key: str = "
 
     def counted(df: DataFrame, removed: int, added: int) -> DataFrame:
         hit = df.select(F.col(key).alias("__k"), F.to_date(day).alias("__d")).join(plan, F.col("__k").eqNullSafe(F.col(key)))
-        hit = hit.select(key, range_of(F.col("__d")).alias("r")).where(F.col("r").isNotNull())
+        hit = hit.select(key, F.explode(F.array(range_of(F.col("__d")))).alias("r")).where(F.col("r").isNotNull())  # searched once a row
         return hit.select(key, "r.start", "r.end", F.lit(removed).cast("bigint").alias("removed"), F.lit(added).cast("bigint").alias("added"))
 
     zero = plan.select(key, F.explode("ranges").alias("r")).select(key, "r.start", "r.end", F.lit(0).cast("bigint").alias("removed"), F.lit(0).cast("bigint").alias("added"))

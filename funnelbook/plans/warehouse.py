@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_dir
+from ..session import materialise, shared_dir
 from .reload import interval_plan, range_audit, range_of
 
 PART = "part"
@@ -235,12 +235,16 @@ class Warehouse:
                         self._replace_planned(table, wanted, full)
 
     def audit(self, table: str, new: DataFrame, ranges: DataFrame) -> DataFrame:
-        """What ``range_replace`` would do: (client, start, end, removed, added) for each planned range. Reads the touched partitions only."""
-        plan = interval_plan(ranges)
+        """What ``range_replace`` would do: (client, start, end, removed, added) for each planned range. Reads the touched partitions only.
+
+        The plan is worked out once and kept in the shared folder, where the result reads it.
+        """
+        plan = materialise(interval_plan(ranges), f"{shared_dir(self.spark)}/plan")
+        sent = self._sent(plan)
         if not self.exists(table):
-            return range_audit(plan, new.limit(0), new)
+            return range_audit(sent, new.limit(0), new)
         stored = self.spark.table(self._name(table)).where(F.col(PART).isin(*self._touched(table, plan)))
-        return range_audit(plan, stored, new)
+        return range_audit(sent, stored, new)
 
     def _sent(self, plan: DataFrame) -> DataFrame:
         """A plan for joining rows to it: sent to every task if it is small, which is counted, else joined by client with its skew split."""

@@ -283,3 +283,14 @@ def test_planned_days_are_found_by_halving(spark, house):
     assert {(r.client, r.Date) for r in outside.collect()} == {(c, day) for c, day, _ in data} - inside
     # the lists stay in the join
     assert "LeftAnti" in outside._jdf.queryExecution().executedPlan().toString()
+
+
+def test_audit_works_the_plan_out_once(spark, house):
+    house.write("t", rows(spark, OLD))
+    new, plan = rows(spark, [("a", d(1, 1), 10), (None, d(1, 1), 11)]), ranges(spark, [("a", d(1, 1), d(1, 2)), ("a", d(2, 1), d(2, 1)), (None, d(1, 1), d(1, 3)), ("b", d(1, 1), d(1, 1))])
+    for table, removed in (("t", (2, 1, 0, 1)), ("absent", (0, 0, 0, 0))):
+        audit = house.audit(table, new, plan)
+        assert "Window" not in audit._jdf.queryExecution().executedPlan().toString()
+        got = {(r.client, r.start): (r.removed, r.added) for r in audit.collect()}
+        want = (("a", d(1, 1), 1), ("a", d(2, 1), 0), (None, d(1, 1), 1), ("b", d(1, 1), 0))
+        assert got == {(c, start): (out, added) for (c, start, added), out in zip(want, removed, strict=True)}
