@@ -110,25 +110,23 @@ def changed_days_ads(
         F.when(present("s") != present("w"), "presence").when(present("s") & differs, "metrics").when(F.col("new_goal"), "new_goal")
     )
 
-    # one order for all of them, so that one sort serves
-    by_day = Window.partitionBy("client").orderBy("dt")
-    client = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    is_last = F.col("dt") == F.lit(end)
-    days = per_day.select("client", "dt", reason.alias("reason"), "s_rows", "w_rows").withColumns(
-        {
-            "in_source": F.max("s_rows").over(client) == 1,
-            "never_loaded": F.max("w_rows").over(client) == 0,
-            "last_found": F.max(F.when(is_last & F.col("reason").isNotNull(), 1)).over(client).isNotNull(),
-            "carrier": F.row_number().over(by_day) == 1,
-        }
+    # a client's days with a reason are a list of at most the window's days, so one aggregation by client serves all of it
+    day = F.struct("dt", "reason")
+    clients = (
+        per_day.select("client", "dt", reason.alias("reason"), "s_rows", "w_rows")
+        .groupBy("client")
+        .agg(
+            F.max("s_rows").alias("s_rows"),
+            F.max("w_rows").alias("w_rows"),
+            F.collect_list(F.when(F.col("reason").isNotNull(), day)).alias("found"),
+            F.max(F.when((F.col("dt") == F.lit(end)) & F.col("reason").isNotNull(), 1)).alias("last_found"),
+        )
     )
-    forced = F.col("carrier") & F.col("never_loaded") & ~F.col("last_found")
-    found = F.struct("dt", "reason")
-    extra = F.when(forced, F.struct(F.lit(end).alias("dt"), F.lit("forced").alias("reason")))
+    forced = (F.col("w_rows") == 0) & F.col("last_found").isNull()
+    extra = F.array(F.struct(F.lit(end).alias("dt"), F.lit("forced").alias("reason")))
     return (
-        days.where(F.col("in_source") & (F.col("reason").isNotNull() | forced))
-        .select("client", F.explode(F.array(found, extra)).alias("day"))
-        .where(F.col("day.reason").isNotNull())
+        clients.where("s_rows = 1")
+        .select("client", F.explode(F.when(forced, F.concat("found", extra)).otherwise(F.col("found"))).alias("day"))
         .select("client", "day.dt", "day.reason")
     )
 

@@ -147,3 +147,12 @@ def test_hot_client_is_reduced_before_the_shuffle(spark):
     plan = changed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and "partial_sum" in plan
     assert found(changed) == {("hot", n): "presence" for n in (1, 2, 3)}
+
+
+def test_reasons_meet_by_client_without_a_second_sort_of_its_days(spark):
+    src = [(None, 1, 1, 1, 1, None, 0), (None, 4, 1, 1, 1, None, 0), ("a", 1, 1, 1, 1, None, 0), ("b", 2, 0, 0, 0, None, 0)]
+    wh = [("a", 1, 1, 1, 1, None, 0), ("a", 2, 1, 1, 1, None, 0), ("d", 1, 1, 1, 1, None, 0)]
+    days = changed_days_ads(ads(spark, src), ads(spark, wh), START, END, tolerance=5)
+    # the goals that the warehouse knows are the only window
+    assert days._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    assert found(days) == {(None, 1): "presence", (None, 4): "presence", (None, 10): "forced", ("a", 2): "presence", ("b", 10): "forced"}
